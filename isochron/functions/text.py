@@ -33,12 +33,17 @@ def _accent_tables() -> tuple[str, str, str, str]:
 def strip_accents(text: Column) -> Column:
     """Base letters only. One pass for almost all text; the few characters that expand are replaced only where present."""
     chars, bases, marks, longer = _accent_tables()
-    expanding = "[" + "".join(item[0] for item in longer.split("\n")) + "]"
+    items = longer.split("\n")
+    expanding = "".join(item[0] for item in items)
+    low = "".join(c for c in expanding if c < "\u0100")
+    high = min(c for c in expanding if c >= "\u0100")
+    # Two tests: a coarse range that most text fails at once, then the exact characters.
+    present = text.rlike(f"[{low}{high}-\uffff]") & (F.translate(text, expanding, "") != text)
     expanded = F.aggregate(
         F.split(F.lit(longer), "\n"), text,
         lambda done, item: F.replace(done, F.substring(item, 1, 1), F.substring(item, 2, 20)),
     )
-    return F.translate(F.when(text.rlike(expanding), expanded).otherwise(text), chars + marks, bases)
+    return F.translate(F.when(present, expanded).otherwise(text), chars + marks, bases)
 
 
 def squeeze(text: Column) -> Column:
@@ -55,8 +60,11 @@ def canonicalize(text: Column) -> Column:
 def normalize_city(text: Column) -> Column:
     """Letters, spaces and hyphens, with the abbreviations of 'saint' and 'sainte' spelled out; null gives ''."""
     plain = squeeze(F.regexp_replace(strip_accents(F.lower(text)), r"[^a-z\s\-]", " "))
-    for short, full in (("ste", "sainte"), ("st", "saint")):
-        plain = F.regexp_replace(plain, rf"(^| ){short}(?= )", f"$1{full}")
+    words = (("ste", "sainte"), ("st", "saint"))
+    for short, full in words:
+        plain = F.replace(plain, F.lit(f" {short} "), F.lit(f" {full} "))
+    for short, full in words:
+        plain = F.regexp_replace(plain, f"^{short} ", f"{full} ")
     return F.coalesce(plain, F.lit(""))
 
 

@@ -9,20 +9,18 @@ from pyspark.sql import functions as F
 
 from isochron.fixed_values import REGIONS
 from isochron.functions import regions as names
+from isochron.functions.binding import let
 from isochron.functions.text import canonicalize, first_letter, normalize_city
 
 
 def add_regions(df: DataFrame, raw: str = "region") -> DataFrame:
-    """Add region_canon (canonical region) and region_clean (display label).
-
-    The canonical form is a projection of its own, so it is computed once per row and the lookups read it.
-    """
-    name = F.col("_name")
-    return (
-        df.withColumn("_name", F.when(F.col(raw).isNotNull(), canonicalize(F.col(raw))))
-        .withColumns({"region_canon": names.map_region(name), "region_clean": names.display_name(name, F.col(raw))})
-        .drop("_name")
-    )
+    """Add region_canon (canonical region) and region_clean (display label); null names stay null."""
+    spelled = F.col(raw)
+    both = let(canonicalize(spelled), lambda name: F.struct(
+        names.map_region(name).alias("region_canon"), names.display_name(name, spelled).alias("region_clean")
+    ))
+    added = df.withColumn("_r", F.when(spelled.isNotNull(), both))
+    return added.select(*df.columns, "_r.region_canon", "_r.region_clean")
 
 
 def only_regions(df: DataFrame) -> DataFrame:
@@ -32,13 +30,9 @@ def only_regions(df: DataFrame) -> DataFrame:
 def harmonize(df: DataFrame, region: str = "region_clean") -> DataFrame:
     """Bring a column of region names to the standard labels, in the two passes described in functions.regions."""
     raw = F.col(region)
-    return (
-        df.withColumn("_name", F.when(raw.isNotNull(), canonicalize(raw)))
-        .withColumn("_label", names.harmonize_region(F.col("_name"), raw))
-        .withColumn("_loose", names.simplified(F.col("_label")))
-        .withColumn(region, names.standard_label(F.col("_label"), F.col("_loose")))
-        .drop("_name", "_label", "_loose")
-    )
+    label = let(canonicalize(raw), lambda name: names.harmonize_region(name, raw))
+    standard = let(label, lambda found: let(names.simplified(found), lambda loose: names.standard_label(found, loose)))
+    return df.withColumn(region, F.when(raw.isNotNull(), standard))
 
 
 def nonstandard_names(*tables: DataFrame, region: str = "region_clean") -> DataFrame:

@@ -24,7 +24,7 @@ def with_defaults(df: DataFrame, spec: T.StructType, default=None) -> DataFrame:
 
 def clean_headers(df: DataFrame) -> DataFrame:
     """Trim names, join runs of white space (also no-break spaces), rename known spellings."""
-    trimmed = [re.sub(r"[^\S\t]+", " ", name).strip() for name in df.columns]
+    trimmed = [re.sub(r"[^\S\t]+", " ", name.removeprefix("\ufeff")).strip() for name in df.columns]
     renamed = [HEADER_SYNONYMS.get(name, name) for name in trimmed]
     return df.toDF(*renamed)
 

@@ -37,15 +37,11 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; one is set only where the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="isochron-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(named)
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="isochron-"))
+    return named or context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -40,10 +40,7 @@ def expand_series(df: DataFrame, start: str, end: str, step_seconds: str, arrays
     grid = F.when(F.col(start) <= last, F.sequence(F.col(start), last, step))
     kept = [c for c in df.columns if c not in (start, end, step_seconds, *arrays)]
     zipped = F.arrays_zip(grid.alias(out), *[F.col(a) for a in arrays])
-    named = F.transform(zipped, lambda r: F.struct(
-        r["0"].alias(out), *[r[a].alias(a) for a in arrays]
-    ))
-    return df.select(*kept, F.explode(named).alias("_r")).select(*kept, "_r.*").where(F.col(out).isNotNull())
+    return df.select(*kept, F.explode(zipped).alias("_r")).select(*kept, "_r.*").where(F.col(out).isNotNull())
 
 
 def section_links(df: DataFrame, html: str, fallback_heading: Column) -> DataFrame:

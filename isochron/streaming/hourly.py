@@ -73,15 +73,10 @@ def upsert(batch: DataFrame, target: str, keys: Sequence[str], partition: str) -
     )
 
 
-def run_upserts(stream: DataFrame, keys: Sequence[str], target: str, checkpoint: str, partition: str) -> None:
-    """Feed a stream of (key, ..., event_order) rows into the stored table, batch by batch."""
-    def write(batch: DataFrame, _: int) -> None:
-        values = [c for c in batch.columns if c not in keys and c != "event_order"]
-        newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*values), "event_order").alias("_v")).select(*keys, "_v.*")
-        upsert(newest, target, keys, partition)
-
+def run_upserts(hourly: DataFrame, keys: Sequence[str], target: str, checkpoint: str, partition: str) -> None:
+    """Feed hourly means into a stored fact in update mode: an hour reached by late rows is replaced by its new mean."""
     query = (
-        stream.writeStream.outputMode("append").foreachBatch(write)
+        hourly.writeStream.outputMode("update").foreachBatch(lambda batch, _: upsert(batch, target, keys, partition))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
