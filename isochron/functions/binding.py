@@ -1,7 +1,8 @@
-"""Naming an intermediate value inside a Column expression."""
+"""Naming an intermediate value inside a Column expression, and small tables as literals."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -15,3 +16,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     the whole expression for each use of the value. A lambda variable stays a variable.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def literal(value, schema: str) -> Column:
+    """A list or dict of fixed values as one constant of the given type, folded before execution."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), schema)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from isochron.fixed_values import (
     EXTRA_SPELLINGS, FORCED_LABEL, FORCED_LABEL_FOR, OVERSEAS, REGION_ALIASES, REGIONS,
 )
+from isochron.functions.binding import literal
 from isochron.functions.text import squeeze
 
 CANONICAL = [canon for canon, *_ in REGIONS]
@@ -18,33 +19,22 @@ LABELS = [label for _, label, *_ in REGIONS]
 LABEL_OF = {canon: label for canon, label, *_ in REGIONS}
 
 
-def _pairs(rows: list[tuple[str, str]]) -> Column:
-    """The rows as an array of (name, target), in order."""
-    return F.array(*[F.struct(F.lit(a).alias("name"), F.lit(b).alias("target")) for a, b in rows])
-
-
 def _lookup(key: Column, rows: list[tuple[str, str]]) -> Column:
     """The target of a name, null if it is not listed."""
-    by_target: dict[str, list[str]] = {}
-    for name, target in rows:
-        by_target.setdefault(target, []).append(name)
-    return F.coalesce(*[F.when(key.isin(names), target) for target, names in by_target.items()])
+    return F.try_element_at(literal(dict(rows), "map<string,string>"), key)
 
 
 def _first_overlap(key: Column, rows: list[tuple[str, str]]) -> Column:
     """The target of the first row whose name contains the key or is contained in it; none for an empty key."""
-    hits = F.filter(_pairs(rows), lambda row: key.contains(row["name"]) | row["name"].contains(key))
+    pairs = literal([{"name": name, "target": target} for name, target in rows], "array<struct<name string,target string>>")
+    hits = F.filter(pairs, lambda row: key.contains(row["name"]) | row["name"].contains(key))
     return F.when(key != "", F.get(hits, F.lit(0))["target"])
 
 
 def map_region(name: Column) -> Column:
     """Canonical region of a canonical-form name; null for overseas names, the name itself for unknown ones."""
-    return (
-        F.when(name.isin(OVERSEAS), F.lit(None))
-        .when(name.isin([alias for alias, _ in REGION_ALIASES]), _lookup(name, REGION_ALIASES))
-        .when(name.contains("rhone alpe"), "auvergne rhone alpes")
-        .otherwise(name)
-    )
+    known = F.coalesce(_lookup(name, REGION_ALIASES), F.when(name.contains("rhone alpe"), "auvergne rhone alpes"), name)
+    return F.when(~name.isin(OVERSEAS), known)
 
 
 def is_canonical(name: Column) -> Column:
@@ -72,9 +62,11 @@ def simplified(label: Column) -> Column:
 
 def standard_label(name: Column, loose: Column) -> Column:
     """The first standard label whose loose form equals, contains or is contained in that of the name."""
-    rows = F.array(*[F.struct(simplified(F.lit(label)).alias("loose"), F.lit(label).alias("label")) for label in LABELS])
+    labels = F.transform(
+        literal(LABELS, "array<string>"), lambda label: F.struct(label.alias("label"), simplified(label).alias("loose"))
+    )
     hits = F.filter(
-        rows,
+        labels,
         lambda row: loose.contains(row["loose"]) | row["loose"].contains(loose)
         | (F.translate(loose, " ", "") == F.translate(row["loose"], " ", "")),
     )

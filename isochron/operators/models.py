@@ -249,8 +249,8 @@ def _arima_path(y: np.ndarray, n: int, x: np.ndarray, order: tuple, season: int)
     poly = _differencing(d, sd, season)
     reach = len(poly) - 1
     w = np.convolve(y[:n], poly, mode="valid")
-    extra = np.array([np.convolve(column, poly, mode="valid") for column in x.T]).reshape(x.shape[1], -1)
-    extra = extra[np.abs(extra).max(axis=1) > 1e-9] if extra.size else extra
+    extra = [np.convolve(column, poly, mode="valid") for column in x.T]
+    extra = [e for e in extra if np.abs(e).max() > 1e-9]
     rows = np.arange(max([0, *ar, *ma]), len(w))
     if len(rows) <= len(ar) + len(ma) + len(extra) + 2:
         return None
@@ -354,55 +354,49 @@ def feature_matrix(split: DataFrame, features: Sequence[str]) -> DataFrame:
     return assembler.transform(filled.withColumn("series_code", series))
 
 
-def tree_model(split: DataFrame, features: Sequence[str], estimator, name: str, windows: int) -> DataFrame:
+def tree_model(split: DataFrame, features: Sequence[str], estimator, name: str) -> DataFrame:
     """Fit a Spark ML regressor per window on all series together and predict the window's test rows.
 
-    The number of fits is the number of windows of the geometry; each fit is distributed over the rows.
+    The list of windows is as short as the geometry says; each fit is distributed over the rows.
     """
     matrix = feature_matrix(split, features).select(
         *GROUP, "lead", "role", "ts_utc", F.col(Y).alias("actual_mw"), F.col(Y).alias("label"), "features"
     )
     fitted = []
-    for window in range(windows):
+    for (window,) in split.select("window").distinct().orderBy("window").collect():
         rows = matrix.where(F.col("window") == window)
-        train = rows.where("role = 'train'")
-        model = estimator.fit(train)
+        model = estimator.fit(rows.where("role = 'train'"))
         fitted.append(model.transform(rows.where("role = 'test'")))
     union = reduce(DataFrame.unionByName, fitted)
     out = union.select(*GROUP, "lead", "ts_utc", "actual_mw", F.col("prediction").alias("forecast_mw"))
     return _named(out, name)
 
 
-def forest(split: DataFrame, features: Sequence[str], windows: int, trees: int = 100, depth: int = 15, seed: int = 42) -> DataFrame:
+def forest(split: DataFrame, features: Sequence[str], trees: int = 100, depth: int = 15, seed: int = 42) -> DataFrame:
     from pyspark.ml.regression import RandomForestRegressor
 
     estimator = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="all")
-    return tree_model(split, features, estimator, "random_forest", windows)
+    return tree_model(split, features, estimator, "random_forest")
 
 
-def boosting(split: DataFrame, features: Sequence[str], windows: int, trees: int = 100, depth: int = 10, seed: int = 42) -> DataFrame:
+def boosting(split: DataFrame, features: Sequence[str], trees: int = 100, depth: int = 10, seed: int = 42) -> DataFrame:
     from pyspark.ml.regression import GBTRegressor
 
     shared_folder(split.sparkSession)  # the booster cuts its lineage there
     estimator = GBTRegressor(maxIter=trees, maxDepth=depth, seed=seed)
-    return tree_model(split, features, estimator, "gradient_boosting", windows)
+    return tree_model(split, features, estimator, "gradient_boosting")
 
 
-# Models by name, each a function of (split, features, windows). Baselines come from `baselines`.
-REGISTRY = {
-    "linear": lambda split, features, windows: linear(split, features),
-    "random_forest": forest,
-    "gradient_boosting": boosting,
-    "knn": lambda split, features, windows: knn(split, features),
-}
+# Models by name, each a function of (split, features). Baselines come from `baselines`.
+REGISTRY = {"linear": linear, "random_forest": forest, "gradient_boosting": boosting, "knn": knn}
 
 
-def run_models(split: DataFrame, features: Sequence[str], windows: int, names: Sequence[str], fits: DataFrame | None = None) -> DataFrame:
+def run_models(split: DataFrame, features: Sequence[str], names: Sequence[str], fits: DataFrame | None = None) -> DataFrame:
     """Forecasts of the named models, on top of ARIMA fits if given."""
     def one(name: str) -> DataFrame:
         model = REGISTRY[name]
         if fits is None:
-            return model(split, features, windows)
-        return hybrid(split, fits, lambda part: model(part, features, windows))
+            return model(split, features)
+        return hybrid(split, fits, lambda part: model(part, features))
 
     return reduce(DataFrame.unionByName, [one(name) for name in names])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isochron.fixed_values import REGIONS
+from isochron.functions.binding import literal
 from isochron.functions.regions import LABELS
 from isochron.operators.panel import densify, mean_by_step
 from isochron.operators.regions import add_regions
@@ -48,7 +49,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def pick(values: list[str], number: Column) -> Column:
     """The value at a number modulo the length of the list."""
-    return F.get(F.array(*map(F.lit, values)), (number % len(values)).cast("int"))
+    return F.get(literal(values, "array<string>"), (number % len(values)).cast("int"))
 
 
 def sql_text(value: str) -> str:
@@ -83,19 +84,24 @@ def dense_type_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return densify(type_panel(spark, sf_dir), ["region_clean"])
 
 
-SQL_TYPE_PANEL = """
-panel AS (
-  SELECT event_type AS region_clean, date_trunc('hour', ts) AS ts_utc, avg(value) AS consumption_mw
-  FROM events GROUP BY 1, 2),
+def sql_dense(panel: str, measures: str = "p.consumption_mw") -> str:
+    """CTEs panel and dense (with idx, n_rows, observed) of a query for (region_clean, ts_utc, measures)."""
+    return f"""
+panel AS ({panel}),
 spine AS (
   SELECT region_clean, unnest(generate_series(min(ts_utc), max(ts_utc), INTERVAL 1 HOUR)) AS ts_utc
   FROM panel GROUP BY 1),
 dense AS (
-  SELECT s.region_clean, s.ts_utc, p.consumption_mw, p.ts_utc IS NOT NULL AS observed,
+  SELECT s.region_clean, s.ts_utc, {measures}, p.ts_utc IS NOT NULL AS observed,
          row_number() OVER (PARTITION BY s.region_clean ORDER BY s.ts_utc) - 1 AS idx,
          count(*) OVER (PARTITION BY s.region_clean) AS n_rows
   FROM spine s LEFT JOIN panel p ON s.region_clean = p.region_clean AND s.ts_utc = p.ts_utc)"""
 
+
+SQL_TYPE_PANEL = sql_dense("""
+  SELECT event_type AS region_clean, date_trunc('hour', ts) AS ts_utc, avg(value) AS consumption_mw
+  FROM events GROUP BY 1, 2""")
+
 # Event type -> stored measure of wide demand rows.
 WIDE = {"view": "solaire_mw", "click": "eolien_mw", "signup": "hydraulique_mw", "error": "thermique_mw",
         "purchase": "nucleaire_mw"}

@@ -117,7 +117,7 @@ def best_short_horizon(short_fact: DataFrame, complete: DataFrame, region: DataF
     )
 
 
-def best_overview(short_view: DataFrame, long_view: DataFrame, holiday: DataFrame) -> DataFrame:
+def best_overview(short_view: DataFrame, long_view: DataFrame) -> DataFrame:
     """Both views under one schema, with calendar parts, holiday and a rating by rmse."""
     shared = ["forecast_timestamp", KEY, "forecast_horizon", "model", "region_canon", "holiday_name", "is_national_holiday"]
     short = short_view.select(*shared, "avg_forecast_mw", F.lit("intraday").alias("forecast_type"))
@@ -156,7 +156,7 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> list[st
         ),
         "v_best_dayahead_forecast": long,
         "v_best_intraday_forecast": short,
-        "v_best_combined_forecast_overview": best_overview(short, long, holiday),
+        "v_best_combined_forecast_overview": best_overview(short, long),
         "v_complete_timeseries_normalized": series_normalized(complete),
     }
     for name, view in views.items():
