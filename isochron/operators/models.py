@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -354,19 +356,28 @@ def feature_matrix(split: DataFrame, features: Sequence[str]) -> DataFrame:
     return assembler.transform(filled.withColumn("series_code", series))
 
 
+# Training rows per partition of a tree fit: each level of a tree is a job, so small data is kept in few partitions.
+ROWS_PER_TASK = 200_000
+
+
 def tree_model(split: DataFrame, features: Sequence[str], estimator, name: str) -> DataFrame:
     """Fit a Spark ML regressor per window on all series together and predict the window's test rows.
 
-    The list of windows is as short as the geometry says; each fit is distributed over the rows.
+    The list of windows is as short as the geometry says, so their fits run side by side, as in cross validation;
+    each fit is distributed over the rows.
     """
     matrix = feature_matrix(split, features).select(
         *GROUP, "lead", "role", "ts_utc", F.col(Y).alias("actual_mw"), F.col(Y).alias("label"), "features"
     )
-    fitted = []
-    for (window,) in split.select("window").distinct().orderBy("window").collect():
-        rows = matrix.where(F.col("window") == window)
-        model = estimator.fit(rows.where("role = 'train'"))
-        fitted.append(model.transform(rows.where("role = 'test'")))
+    sizes = split.where("role = 'train'").groupBy("window").agg(F.count("*").alias("rows")).orderBy("window").collect()
+
+    def run(size) -> DataFrame:
+        rows = matrix.where(F.col("window") == size["window"])
+        train = rows.where("role = 'train'").repartition(1 + size["rows"] // ROWS_PER_TASK)
+        return estimator.fit(train).transform(rows.where("role = 'test'"))
+
+    with ThreadPool(max(len(sizes), 1)) as pool:
+        fitted = pool.map(inheritable_thread_target(split.sparkSession)(run), sizes)
     union = reduce(DataFrame.unionByName, fitted)
     out = union.select(*GROUP, "lead", "ts_utc", "actual_mw", F.col("prediction").alias("forecast_mw"))
     return _named(out, name)
