@@ -8,14 +8,15 @@ looks back on.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isochron.fixed_values import FEATURE_LAGS, FEATURE_SPANS
 from isochron.functions.clock import calendar_parts, dow_from_monday, utc_to_local
 from isochron.functions.numeric import cyclic, number_or_zero
+from isochron.operators.shape import quoted
 
 SLICE = 8192
 STEP_SECONDS = {"hour": 3600, "day": 86400}
@@ -60,31 +61,31 @@ def _slice_of(position: Column) -> Column:
     return F.floor(position / SLICE)
 
 
-def with_history(
-    dense: DataFrame, keys: Sequence[str], lookback: int, columns: dict[str, Callable[[WindowSpec], Column]],
-) -> DataFrame:
-    """Add window columns that look back at most `lookback` (<= SLICE) rows of a dense panel, slice by slice."""
+def with_history(dense: DataFrame, keys: Sequence[str], lookback: int, columns: dict[str, str]) -> DataFrame:
+    """Add window columns that look back at most `lookback` (<= SLICE) rows of a dense panel, slice by slice.
+
+    A column is an SQL expression in which OVER names the window, as made by lag_columns and rolling_columns.
+    """
     if lookback > SLICE:
         raise ValueError(f"lookback {lookback} exceeds the slice length {SLICE}")
     own, reached = _slice_of(F.col("idx")), _slice_of(F.col("idx") + lookback)
     sliced = dense.withColumn("_own", own).withColumn("_slice", F.explode(F.array_distinct(F.array(own, reached))))
-    window = Window.partitionBy(*keys, "_slice").orderBy("idx")
-    added = sliced.withColumns({name: build(window) for name, build in columns.items()})
+    window = f"OVER (PARTITION BY {', '.join(map(quoted, keys))}, _slice ORDER BY idx"
+    added = sliced.withColumns({name: F.expr(sql.replace("OVER (", window + " ")) for name, sql in columns.items()})
     return added.where("_slice = _own").drop("_own", "_slice")
 
 
-def lag_columns(measure: str, lags: Sequence[int], prefix: str) -> dict[str, Callable[[WindowSpec], Column]]:
-    return {f"{prefix}{k}": lambda w, k=k: F.lag(measure, k).over(w) for k in lags}
+def lag_columns(measure: str, lags: Sequence[int], prefix: str) -> dict[str, str]:
+    return {f"{prefix}{k}": f"lag({quoted(measure)}, {k}) OVER ()" for k in lags}
 
 
-def rolling_columns(
-    measure: str, spans: Sequence[int], prefix: str, exclude_current: bool = False,
-) -> dict[str, Callable[[WindowSpec], Column]]:
+def rolling_columns(measure: str, spans: Sequence[int], prefix: str, exclude_current: bool = False) -> dict[str, str]:
     """Trailing means over up to `span` rows, ending at the current row or, on request, at the one before."""
-    last = -1 if exclude_current else 0
-    return {
-        f"{prefix}{n}": lambda w, n=n: F.avg(measure).over(w.rowsBetween(last - n + 1, last)) for n in spans
-    }
+    def frame(span: int) -> str:
+        first, last = (span, "1 PRECEDING") if exclude_current else (span - 1, "CURRENT ROW")
+        return f"ROWS BETWEEN {first} PRECEDING AND {last}"
+
+    return {f"{prefix}{n}": f"avg({quoted(measure)}) OVER ({frame(n)})" for n in spans}
 
 
 def demand_history(dense: DataFrame, keys: Sequence[str], measure: str = "consommation_mw", stem: str = "consommation") -> DataFrame:
@@ -110,42 +111,35 @@ def add_cyclic(df: DataFrame, **periods: int) -> DataFrame:
     return df.withColumns(added)
 
 
+def _finite(measure: str) -> Column:
+    return F.expr(f"CASE WHEN abs({quoted(measure)}) < double('infinity') THEN {quoted(measure)} END")
+
+
 def fill_gaps(dense: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Per series: infinities to null, then the last value before, else the first value after, else 0.
+    """Per series: infinities to null, then the last value before, else the series' first value, else 0.
 
-    Values are carried within a slice by windows and across slices through one summary row per slice.
+    Rows without an earlier value all stand before the series' first value, so filling backwards needs no window over
+    following rows (which costs quadratic time). Values are carried within a slice by a running window, and across
+    slices through one summary row per slice.
     """
-    finite = dense.withColumns({
-        m: F.when(F.abs(F.col(m)) < F.lit(float("inf")), F.col(m)) for m in measures
-    }).withColumn("_slice", _slice_of(F.col("idx")))
-    position = {m: F.when(F.col(m).isNotNull(), F.col("idx")) for m in measures}
-    ends = finite.groupBy(*keys, "_slice").agg(
-        *[F.max_by(m, position[m]).alias(f"_last_{m}") for m in measures],
-        *[F.min_by(m, position[m]).alias(f"_first_{m}") for m in measures],
-    )
-    slices = Window.partitionBy(*keys).orderBy("_slice")
-    earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
-    later = slices.rowsBetween(1, Window.unboundedFollowing)
-    carried = ends.select(
-        *keys, "_slice",
-        *[F.last(f"_last_{m}", ignorenulls=True).over(earlier).alias(f"_before_{m}") for m in measures],
-        *[F.first(f"_first_{m}", ignorenulls=True).over(later).alias(f"_after_{m}") for m in measures],
-    )
-    rows = Window.partitionBy(*keys, "_slice").orderBy("idx")
-    past = rows.rowsBetween(Window.unboundedPreceding, 0)
-    future = rows.rowsBetween(0, Window.unboundedFollowing)
-    inside = finite.withColumns(
-        {f"_past_{m}": F.last(m, ignorenulls=True).over(past) for m in measures}
-        | {f"_future_{m}": F.first(m, ignorenulls=True).over(future) for m in measures}
-    )
-    filled = inside.join(carried, [*keys, "_slice"], "left")
-    return filled.select(
-        *[c for c in dense.columns if c not in measures],
-        *[
-            F.coalesce(f"_past_{m}", f"_before_{m}", f"_future_{m}", f"_after_{m}", F.lit(0.0)).alias(m)
-            for m in measures
-        ],
+    by = ", ".join(map(quoted, keys))
+    finite = dense.withColumns({m: _finite(m) for m in measures}).withColumn("_slice", _slice_of(F.col("idx")))
+    ends = finite.groupBy(*keys, "_slice").agg(*[
+        F.expr(f"{end}({quoted(m)}, CASE WHEN {quoted(m)} IS NOT NULL THEN idx END) AS `_{end}_{m}`")
+        for m in measures for end in ("max_by", "min_by")
+    ])
+    series = f"OVER (PARTITION BY {by} ORDER BY _slice ROWS BETWEEN UNBOUNDED PRECEDING AND"
+    carried = ends.selectExpr(
+        *map(quoted, keys), "_slice",
+        *[f"last(`_max_by_{m}`, true) {series} 1 PRECEDING) AS `_before_{m}`" for m in measures],
+        *[f"first(`_min_by_{m}`, true) {series} UNBOUNDED FOLLOWING) AS `_first_{m}`" for m in measures],
     )
+    running = f"OVER (PARTITION BY {by}, _slice ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    inside = finite.withColumns({f"_past_{m}": F.expr(f"last({quoted(m)}, true) {running}") for m in measures})
+    return inside.join(carried, [*keys, "_slice"], "left").selectExpr(*[
+        f"coalesce(`_past_{c}`, `_before_{c}`, `_first_{c}`, 0.0D) AS {quoted(c)}" if c in measures else quoted(c)
+        for c in dense.columns
+    ])
 
 
 def model_features(
@@ -155,17 +149,22 @@ def model_features(
     """Lags, trailing means, UTC calendar parts (Monday = 0) and their cyclic forms; gaps of all numbers filled.
 
     exclude_current keeps the row's own value out of its trailing means, as a forecasting model needs it.
+    Only the measures are filled; filling the derived columns then has closed forms. A lag is the lag of the filled
+    measure, or the series' first value before there is one. A trailing mean runs over present values; if its span holds
+    none, the last mean there was is the last value before the gap.
     """
-    stem = measure.removesuffix("_mw")
-    columns = lag_columns(measure, lags, f"{stem}_lag_") | rolling_columns(
-        measure, spans, f"{stem}_rolling_mean_", exclude_current
-    )
-    lookback = max([*lags, *spans], default=0) + 1
-    featured = with_history(dense, keys, lookback, columns)
+    stem, name = measure.removesuffix("_mw"), quoted(measure)
+    present = dense.withColumn("_present", _finite(measure))
+    filled = fill_gaps(present, keys, [measure, *extra])
+    first = f"first({name}) OVER (ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    lagged = {c: f"coalesce({sql}, {first})" for c, sql in lag_columns(measure, lags, f"{stem}_lag_").items()}
+    last = f"coalesce(lag({name}, 1) OVER (), {first})" if exclude_current else name
+    means = rolling_columns("_present", spans, f"{stem}_rolling_mean_", exclude_current)
+    columns = lagged | {c: f"coalesce({sql}, {last})" for c, sql in means.items()}
+    featured = with_history(filled, keys, max([*lags, *spans], default=0) + 1, columns).drop("_present")
     ts = F.col("ts_utc")
     featured = featured.withColumns({"hour": F.hour(ts), "dow": dow_from_monday(ts), "month": F.month(ts)})
-    featured = add_cyclic(featured, hour=24, dow=7)
-    return fill_gaps(featured, keys, [measure, *extra, *columns])
+    return add_cyclic(featured, hour=24, dow=7)
 
 
 def feature_names(stem: str = "consumption", lags: Sequence[int] = FEATURE_LAGS, spans: Sequence[int] = FEATURE_SPANS) -> list[str]:
