@@ -16,10 +16,12 @@ from isochron.functions import buckets
 from isochron.functions.numeric import number_or_null, renewable_ratio
 from isochron.functions.text import surrogate_key
 from isochron.operators.holidays import one_per_date
+from isochron.operators.merge import merge_first_match
 from isochron.operators.panel import add_calendar, add_cyclic, mean_by_step
 from isochron.operators.regions import add_capitals
 
 MEASURED_DAYS = [f"temperature_2m_previous_day{k}" for k in range(1, 6)]
+WEATHER_INPUTS = ["temp_c", *MEASURED_DAYS, "precip_mm", "wind_kph", "humidity", "cloud", "pressure_mb"]
 
 
 def weather_hourly(readings: DataFrame, local: str = "ts_paris") -> DataFrame:
@@ -27,10 +29,10 @@ def weather_hourly(readings: DataFrame, local: str = "ts_paris") -> DataFrame:
 
     Labels follow from the regional mean and the hour, so they do not depend on which city comes first.
     """
-    present = [c for c in ["temperature_2m", *MEASURED_DAYS, "precip_mm", "wind_kph", "humidity", "cloud", "pressure_mb"]
-               if c in readings.columns]
+    readings = readings.withColumnRenamed("temperature_2m", "temp_c")
+    present = [c for c in WEATHER_INPUTS if c in readings.columns]
     typed = readings.withColumns({c: number_or_null(F.col(c)) for c in present})
-    hourly = mean_by_step(typed, ["region_clean"], "ts_utc", present).withColumnRenamed("temperature_2m", "temp_c")
+    hourly = mean_by_step(typed, ["region_clean"], "ts_utc", present)
     timed = add_calendar(hourly, local=local, only=["hour", "dow", "month", "is_weekend"])
     timed = timed.withColumns({
         "season": buckets.season(F.col("month")),
@@ -184,8 +186,6 @@ def fact_weather_hourly(
 
 def analytics_panel(demand: DataFrame, weather: DataFrame | None) -> DataFrame:
     """Positive hourly demand with the temperature of the same hour and region, by the first key set both sides have."""
-    from isochron.operators.merge import merge_first_match
-
     if weather is not None:
         keys = [["time_id", "region_id"], ["ts_utc", "region_clean"], ["ts_utc", "region_id"]]
         demand = merge_first_match(demand, weather, keys, ["temperature_c"])

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from isochron.fixed_values import FEATURE_LAGS, FEATURE_SPANS
 from isochron.operators import holidays as holiday_ops
-from isochron.operators import panel, reports, star
-from isochron.plans import inputs, views
+from isochron.operators import panel, regions, reports, silver, star
+from isochron.plans import inputs, places, views
 from isochron.plans.basics import SQL_RAIN, SQL_SEASON, SQL_TEMPERATURE, SQL_WIND
 from isochron.plans.registry import query
 from isochron.session import stored
@@ -352,3 +352,41 @@ SELECT region_clean, lag, corr(y, x) AS correlation FROM lagged GROUP BY 1, 2"""
 def lagged_correlation(spark: SparkSession, sf: str) -> DataFrame:
     demand = stored(inputs.region_demand(spark, sf).select(*KEY, "ts_utc", "consommation_mw", "solaire_mw"), "demand")
     return reports.lagged_correlations(panel.densify(demand, KEY), "solaire_mw", "consommation_mw")
+
+
+# Raw rows to hourly tables.
+
+def _raw_demand(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw demand rows: region spellings, local clock as text, measures with decimal comma, some without a number."""
+    local = F.from_utc_timestamp("ts", "Europe/Paris")
+    comma = F.translate(F.col("value").cast("string"), ".", ",")
+    return inputs.events(spark, sf).select(
+        inputs.pick(inputs.SPELLINGS, F.col("user_id")).alias("region"),
+        F.date_format(local, "yyyy-MM-dd").alias("date"), F.date_format(local, "HH:mm").alias("heure"),
+        F.when(F.col("event_type") == "error", "ND").otherwise(comma).alias("consommation_mw"),
+        F.when(F.col("event_type") == "view", comma).alias("solaire_mw"),
+    )
+
+
+SQL_RAW_DEMAND = f"""
+raw_names AS (SELECT {inputs.sql_pick(inputs.SPELLINGS, "user_id")} AS region, ts, event_type, value FROM events), {{0}}"""
+
+
+@query(f"""
+WITH {SQL_RAW_DEMAND.format(places.SQL_MAP)}
+SELECT region_clean, date_trunc('hour', ts) AS ts_utc, avg(CASE WHEN event_type <> 'error' THEN value END) AS consommation_mw,
+       avg(CASE WHEN event_type = 'view' THEN value END) AS solaire_mw
+FROM mapped WHERE region_canon IN (SELECT canon FROM regions) GROUP BY 1, 2""", rounded=["consommation_mw", "solaire_mw"])
+def demand_from_raw(spark: SparkSession, sf: str) -> DataFrame:
+    return silver.demand_hourly(_raw_demand(spark, sf))
+
+
+@query(f"""
+WITH {places.SQL_CITY_MAP}, {inputs.SQL_READINGS}
+SELECT r.c AS region_clean, date_trunc('hour', ts) AS ts_utc, avg(temperature_2m) AS temp_c
+FROM readings JOIN lookup ON city_norm = {places.SQL_CITY_NORM.format("city_name")} GROUP BY 1, 2
+HAVING avg(temperature_2m) > -50 AND avg(temperature_2m) < 60""", rounded=["temp_c"])
+def weather_from_cities(spark: SparkSession, sf: str) -> DataFrame:
+    mapping = regions.region_mapping(inputs.city_rows(spark, sf))
+    readings = inputs.readings(spark, sf).select("city_name", "date", "temperature_2m")
+    return silver.weather_by_region(readings, mapping).select(*KEY, "ts_utc", "temp_c")
