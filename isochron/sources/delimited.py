@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from isochron.functions.clock import local_to_utc, parse_local_day_first, utc_to_local
 from isochron.functions.numeric import coerce_numeric
-from isochron.operators.shape import clean_headers, concat_tables, lead_with, split_all_packed
+from isochron.operators.shape import clean_headers, concat_tables, lead_with, quoted, split_all_packed
 
 # Delimiters in order of preference, and the encodings of valid and invalid UTF-8 files.
 DELIMITERS = ["\t", ";", "|", ","]
-ENCODINGS = ("UTF-8", "windows-1252")
+ENCODINGS = ("UTF-8", "ISO-8859-1")
+# Windows files read as Latin-1 hold control codes where code page 1252 has letters and quotes.
+CONTROLS = "".join(map(chr, range(0x80, 0xA0)))
+WINDOWS = bytes(range(0x80, 0xA0)).decode("cp1252", errors="replace")
 
 
 def dialects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -22,8 +25,7 @@ def dialects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     Lines are scanned where they lie and counted per file with map-side combine: no file passes through one task. The
     separator is the first one that stands in the header and splits most lines into as many fields as the header.
     """
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value",
-                                          F.col("_metadata.file_block_start").alias("_block"))
+    lines = spark.read.text(paths).select(_path(), "value")
     counts = {f"n{i}": F.regexp_count("value", F.lit(_escaped(d))) for i, d in enumerate(DELIMITERS)}
     counted = lines.where(F.trim("value") != "").withColumns(counts)
     per_width = counted.groupBy("path", *counts).agg(
@@ -48,6 +50,11 @@ def dialects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def _path() -> Column:
+    """The path of a row's file as readers take it: the metadata column holds it URL-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path")
+
+
 def _escaped(delimiter: str) -> str:
     return "\\" + delimiter if delimiter == "|" else delimiter
 
@@ -63,8 +70,7 @@ def load(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     Only the list of file names per dialect and header comes to the driver, as it does for any reader given paths.
     """
     known = dialects(spark, paths)
-    header = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value",
-                                           F.col("_metadata.file_block_start").alias("start"))
+    header = spark.read.text(paths).select(_path(), "value", F.col("_metadata.file_block_start").alias("start"))
     first_lines = header.withColumn("at", F.monotonically_increasing_id()).where(F.trim("value") != "")
     heads = first_lines.groupBy("path").agg(F.min_by("value", F.struct("start", "at")).alias("head"))
     groups = known.join(heads, "path").groupBy("separator", "encoding", "head").agg(
@@ -77,9 +83,13 @@ def load(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def _read(spark: SparkSession, paths: list[str], separator: str, encoding: str) -> DataFrame:
     reader = spark.read.option("header", True).option("sep", separator).option("encoding", encoding)
     rows = reader.csv(paths)
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    placed = rows.select("*", F.url_decode(F.regexp_replace(name, r"\+", "%2B")).alias("zip_name"))
-    tidy = clean_headers(split_all_packed(placed))
+    if encoding == ENCODINGS[1]:
+        rows = rows.select(*[
+            F.translate(F.col(quoted(c)), CONTROLS, WINDOWS).alias(c.translate(str.maketrans(CONTROLS, WINDOWS)))
+            for c in rows.columns
+        ], "_metadata")
+    placed = rows.select("*", F.element_at(F.split(_path(), "/"), -1).alias("zip_name"))
+    tidy = clean_headers(split_all_packed(placed.drop("_metadata")))
     return tidy.withColumns({"zip_member": F.col("zip_name"), "region": region_of(F.col("zip_name"))})
 
 
