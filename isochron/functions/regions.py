@@ -12,7 +12,7 @@ from isochron.fixed_values import (
     EXTRA_SPELLINGS, FORCED_LABEL, FORCED_LABEL_FOR, OVERSEAS, REGION_ALIASES, REGIONS,
 )
 from isochron.functions.binding import literal
-from isochron.functions.text import squeeze
+from isochron.functions.text import SPACES, squeeze
 
 CANONICAL = [canon for canon, *_ in REGIONS]
 LABELS = [label for _, label, *_ in REGIONS]
@@ -57,7 +57,7 @@ def harmonize_region(name: Column, raw: Column) -> Column:
 
 def simplified(label: Column) -> Column:
     """The loose form in which labels are compared."""
-    return squeeze(F.translate(F.lower(label), "-'éô", "  eo"))
+    return squeeze(F.translate(F.lower(label), "-'éô" + SPACES, "  eo" + " " * len(SPACES)))
 
 
 def standard_label(name: Column, loose: Column) -> Column:

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 # Code point ranges whose compatibility decomposition is applied.
 _RANGES = [(0x00A0, 0x10FF), (0x1D00, 0x24FF), (0xFB00, 0xFB06), (0xFE20, 0xFE2F), (0xFF01, 0xFF5E)]
 # Punctuation that separates the words of a name.
-_SEPARATORS = r"['’\-_.,()/\\]"
+SEPARATORS = "'’-_.,()/\\"
+# All characters that count as white space.
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 @functools.cache
-def _accent_tables() -> tuple[str, str, str, str]:
-    """(characters with a one-character base, those bases, removed marks, characters each followed by its longer base)."""
+def _accent_tables() -> tuple[dict[str, str], str, str]:
+    """(character -> one-character base, removed marks, lines of a character followed by its longer base)."""
     single, marks, longer = {}, [], []
     for first, last in _RANGES:
         for char in map(chr, range(first, last + 1)):
@@ -27,12 +29,16 @@ def _accent_tables() -> tuple[str, str, str, str]:
                 longer.append(char + base)
             elif base != char:
                 single[char] = base
-    return "".join(single), "".join(single.values()), "".join(marks), "\n".join(longer)
+    return single, "".join(marks), "\n".join(longer)
 
 
-def strip_accents(text: Column) -> Column:
-    """Base letters only. One pass for almost all text; the few characters that expand are replaced only where present."""
-    chars, bases, marks, longer = _accent_tables()
+def strip_accents(text: Column, spaces: str = "") -> Column:
+    """Base letters only; characters of `spaces` become blanks in the same pass.
+
+    One pass for almost all text: the few characters that expand are replaced only where present.
+    """
+    single, marks, longer = _accent_tables()
+    table = single | dict.fromkeys(spaces, " ")
     items = longer.split("\n")
     expanding = "".join(item[0] for item in items)
     low = "".join(c for c in expanding if c < "\u0100")
@@ -43,23 +49,24 @@ def strip_accents(text: Column) -> Column:
         F.split(F.lit(longer), "\n"), text,
         lambda done, item: F.replace(done, F.substring(item, 1, 1), F.substring(item, 2, 20)),
     )
-    return F.translate(F.when(present, expanded).otherwise(text), chars + marks, bases)
+    source = F.when(present, expanded).otherwise(text)
+    return F.translate(source, "".join(table) + marks, "".join(table.values()))
 
 
 def squeeze(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    """Runs of blanks as one, none at the ends."""
+    return F.trim(F.regexp_replace(text, "  +", " "))
 
 
 def canonicalize(text: Column) -> Column:
-    """Lower case, no accents, punctuation as spaces; null and 'nan' give ''."""
-    lowered = F.lower(F.trim(text))
-    plain = squeeze(F.regexp_replace(strip_accents(lowered), _SEPARATORS, " "))
+    """Lower case, no accents, punctuation and white space as single blanks; null and 'nan' give ''."""
+    plain = squeeze(strip_accents(F.lower(text), SEPARATORS + SPACES))
     return F.when(text.isNull() | (F.lower(text) == "nan"), F.lit("")).otherwise(plain)
 
 
 def normalize_city(text: Column) -> Column:
     """Letters, spaces and hyphens, with the abbreviations of 'saint' and 'sainte' spelled out; null gives ''."""
-    plain = squeeze(F.regexp_replace(strip_accents(F.lower(text)), r"[^a-z\s\-]", " "))
+    plain = squeeze(F.regexp_replace(strip_accents(F.lower(text), SPACES), r"[^a-z\-]", " "))
     words = (("ste", "sainte"), ("st", "saint"))
     for short, full in words:
         plain = F.replace(plain, F.lit(f" {short} "), F.lit(f" {full} "))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isochron.functions import buckets
@@ -45,24 +45,22 @@ def bridge_days(days: DataFrame, parity: bool = False) -> DataFrame:
     of distance zero. The neighbour test is an equi-join of distinct dates, not an unpartitioned window.
     """
     day = F.col("date_paris")
-    dates = days.select("date_paris").distinct()
+    row = F.struct("holiday_name", "holiday_type", "location")
+    dates = days.groupBy("date_paris").agg(F.min(row).alias("_min"), F.max(row).alias("_max"))
     early, late = (4, 2) if parity else (5, 3)
     after = dates.select(F.date_sub(day, 1).alias("date_paris"), F.lit(True).alias("_next"))
     before = dates.select(F.date_add(day, 1).alias("date_paris"), F.lit(True).alias("_previous"))
     joined = days.join(after, "date_paris", "left").join(before, "date_paris", "left")
+    is_last = is_first = F.lit(True)
     if parity:
         # The neighbour in date order is the next row, so only a date's last (first) row has the next (previous) day.
-        place = Window.partitionBy("date_paris").orderBy("holiday_name", "holiday_type", "location")
-        size = Window.partitionBy("date_paris")
-        joined = joined.withColumns({"_at": F.row_number().over(place), "_of": F.count("*").over(size)})
-        is_last, is_first = F.col("_at") == F.col("_of"), F.col("_at") == 1
-    else:
-        is_last = is_first = F.lit(True)
+        joined = joined.join(dates, "date_paris", "left")
+        is_last, is_first = row.eqNullSafe(F.col("_max")), row.eqNullSafe(F.col("_min"))
     dow = F.dayofweek(day)
     bridge = ((dow == early) & F.col("_next").isNotNull() & is_last) | (
         (dow == late) & F.col("_previous").isNotNull() & is_first
     )
-    return joined.withColumn("is_bridge_day", bridge.cast("int")).drop("_next", "_previous", "_at", "_of")
+    return joined.withColumn("is_bridge_day", bridge.cast("int")).drop("_next", "_previous", "_min", "_max")
 
 
 def holiday_features(raw: DataFrame, country: str = "France", parity: bool = False) -> DataFrame:

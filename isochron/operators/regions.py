@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from isochron.fixed_values import REGIONS
 from isochron.functions import regions as names
 from isochron.functions.binding import let
 from isochron.functions.text import canonicalize, first_letter, normalize_city
+from isochron.session import stored
 
 
 def add_regions(df: DataFrame, raw: str = "region") -> DataFrame:
@@ -79,11 +81,20 @@ def one_region_per_city(mapping: DataFrame) -> DataFrame:
 def attach_regions(readings: DataFrame, mapping: DataFrame, city: str = "city_name") -> DataFrame:
     """Left-join readings to regions by normalised city name; unmatched rows keep null regions.
 
-    No hint: the map grows with the number of cities, so Spark broadcasts it only below its size threshold
-    and otherwise joins by shuffle, splitting hot cities at run time.
+    Names are normalised once each, and the resolved names stored, so that Spark knows their size: it broadcasts them
+    below its threshold, and above it joins by shuffle and splits hot cities at run time.
     """
-    named = readings.withColumn("city_norm", normalize_city(F.col(city)))
-    return named.join(one_region_per_city(mapping), "city_norm", "left")
+    cities = readings.select(city).where(F.col(city).isNotNull()).distinct().withColumn("city_norm", normalize_city(F.col(city)))
+    lookup = stored(cities.join(one_region_per_city(mapping), "city_norm", "left"), "city-regions")
+    return readings.join(lookup, city, "left")
+
+
+def by_name(df: DataFrame, raw: str, resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Stored table of the distinct names in a column with what `resolve` adds to them; for joins as in attach_regions.
+
+    Reads one column of the table and leaves one row per name; null names are left out.
+    """
+    return stored(resolve(df.select(raw).where(F.col(raw).isNotNull()).distinct()), "names")
 
 
 def unmapped(readings: DataFrame, mapping: DataFrame, city: str = "city_name") -> DataFrame:

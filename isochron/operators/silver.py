@@ -16,7 +16,8 @@ def demand_hourly(raw: DataFrame, null_as_zero: bool = False, overlap: str = "ea
 
     Rows of negative demand are left out. null_as_zero counts missing measures as 0 in the means.
     """
-    known = regions.only_regions(regions.add_regions(raw, "region"))
+    names = regions.by_name(raw, "region", lambda n: regions.only_regions(regions.add_regions(n)))
+    known = raw.join(names, "region")
     measures = [c for c in raw.columns if c.endswith("_mw") and any(t in c for t in NUMERIC_NAME_TOKENS)]
     instant = local_to_utc(parse_local(F.col("date"), F.col("heure")), overlap=overlap)
     typed = known.select("region_clean", instant.alias("_ts"), *[decimal_comma(F.col(c)).alias(c) for c in measures])
@@ -39,15 +40,17 @@ def weather_by_region(readings: DataFrame, mapping: DataFrame) -> DataFrame:
     return star.weather_hourly(timed)
 
 
+def _harmonized(silver: DataFrame, measures: list[str]) -> DataFrame:
+    """Rows under standard region labels, averaged again where labels fall together."""
+    names = regions.by_name(silver, "region_clean", lambda n: regions.harmonize(n.withColumn("_label", F.col("region_clean")), "_label"))
+    named = silver.select("region_clean", "ts_utc", *measures).join(names, "region_clean")
+    labelled = named.drop("region_clean").withColumnRenamed("_label", "region_clean")
+    return panel.mean_by_step(labelled, ["region_clean"], "ts_utc", measures)
+
+
 def harmonized_demand(silver: DataFrame) -> DataFrame:
-    """Silver demand under standard region labels; labels that fall together are averaged again per hour."""
-    measures = [c for c in DEMAND_MEASURES if c in silver.columns]
-    named = regions.harmonize(silver.select("region_clean", "ts_utc", *measures))
-    return panel.mean_by_step(named, ["region_clean"], "ts_utc", measures)
+    return _harmonized(silver, [c for c in DEMAND_MEASURES if c in silver.columns])
 
 
 def harmonized_weather(silver: DataFrame) -> DataFrame:
-    """Silver weather under standard region labels, averaged again where labels fall together."""
-    measures = [c for c in star.WEATHER_INPUTS if c in silver.columns]
-    named = regions.harmonize(silver.select("region_clean", "ts_utc", *measures))
-    return panel.mean_by_step(named, ["region_clean"], "ts_utc", measures)
+    return _harmonized(silver, [c for c in star.WEATHER_INPUTS if c in silver.columns])
