@@ -144,23 +144,28 @@ def holiday_distribution(spark: SparkSession, sf: str) -> DataFrame:
 
 # Star schema over the events: demand, weather, holidays of January.
 
-def _star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Silver tables stored once, dimensions and facts on top of them."""
+def _demand_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The demand table, stored once, and the dimensions of the demand fact."""
     demand = stored(panel.add_calendar(inputs.region_demand(spark, sf), only=[]), "demand")
-    weather = stored(star.weather_hourly(inputs.region_weather(spark, sf)), "weather")
     holidays = holiday_ops.holiday_features(inputs.january_holidays(spark, sf))
     return {
-        "demand": demand, "weather": weather, "dim_time": star.dim_time(demand), "dim_region": star.dim_region(demand),
-        "dim_weather_type": star.dim_weather_type(weather), "dim_holiday": star.dim_holiday(holidays),
+        "demand": demand, "dim_time": star.dim_time(demand), "dim_region": star.dim_region(demand),
+        "dim_holiday": star.dim_holiday(holidays),
     }
 
 
-def _facts(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    t = tables
-    return (
-        star.fact_demand_hourly(t["demand"], t["dim_time"], t["dim_region"], t["dim_holiday"]),
-        star.fact_weather_hourly(t["weather"], t["dim_time"], t["dim_region"], t["dim_weather_type"]),
-    )
+def _star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The same with the weather table and its dimension."""
+    weather = stored(star.weather_hourly(inputs.region_weather(spark, sf)), "weather")
+    return _demand_star(spark, sf) | {"weather": weather, "dim_weather_type": star.dim_weather_type(weather)}
+
+
+def _demand_fact(t: dict[str, DataFrame]) -> DataFrame:
+    return star.fact_demand_hourly(t["demand"], t["dim_time"], t["dim_region"], t["dim_holiday"])
+
+
+def _weather_fact(t: dict[str, DataFrame]) -> DataFrame:
+    return star.fact_weather_hourly(t["weather"], t["dim_time"], t["dim_region"], t["dim_weather_type"])
 
 
 SQL_DIM_TIME = f"""
@@ -242,12 +247,12 @@ _MEASURES = ["consumption_mw", "solar_production_mw", "wind_production_mw", "hyd
 
 @query(f"WITH {SQL_STAR} SELECT * FROM fact_electricity", rounded=_MEASURES)
 def fact_demand_hourly(spark: SparkSession, sf: str) -> DataFrame:
-    return _facts(_star(spark, sf))[0]
+    return _demand_fact(_demand_star(spark, sf))
 
 
 @query(f"WITH {SQL_STAR} SELECT * FROM fact_weather", rounded=["temperature_c", "wind_speed_kph", "precipitation_mm"])
 def fact_weather_hourly(spark: SparkSession, sf: str) -> DataFrame:
-    return _facts(_star(spark, sf))[1]
+    return _weather_fact(_star(spark, sf))
 
 
 @query(f"""
@@ -297,16 +302,14 @@ GROUP BY ALL"""
 @query(f"WITH {SQL_STAR} {_sql_daily('dt.ts_paris::DATE::VARCHAR')}", rounded=_DAILY)
 def view_daily(spark: SparkSession, sf: str) -> DataFrame:
     t = _star(spark, sf)
-    demand, weather = _facts(t)
-    return views.daily_demand_weather(demand, weather, t["dim_time"], t["dim_region"], t["dim_holiday"])
+    return views.daily_demand_weather(_demand_fact(t), _weather_fact(t), t["dim_time"], t["dim_region"], t["dim_holiday"])
 
 
 @query(f"WITH {SQL_STAR} {_sql_daily('dt.ts_paris')}", rounded=_DAILY)
 def view_daily_per_hour(spark: SparkSession, sf: str) -> DataFrame:
     """The same view grouped by the hourly local timestamp."""
     t = _star(spark, sf)
-    demand, weather = _facts(t)
-    return views.daily_demand_weather(demand, weather, t["dim_time"], t["dim_region"], t["dim_holiday"], per_hour=True)
+    return views.daily_demand_weather(_demand_fact(t), _weather_fact(t), t["dim_time"], t["dim_region"], t["dim_holiday"], per_hour=True)
 
 
 @query(f"""WITH {inputs.SQL_TYPE_PANEL}
@@ -323,7 +326,8 @@ analytics AS (
 
 
 def _analytics(spark: SparkSession, sf: str) -> DataFrame:
-    return star.analytics_panel(*_facts(_star(spark, sf)))
+    t = _star(spark, sf)
+    return star.analytics_panel(_demand_fact(t), _weather_fact(t))
 
 
 @query(f"WITH {SQL_STAR}, {SQL_ANALYTICS} SELECT * FROM analytics",
