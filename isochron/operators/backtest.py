@@ -92,12 +92,15 @@ def score(forecasts: DataFrame, split: DataFrame, horizons: Sequence[int], ts: s
 
 
 def best_by_error(results: DataFrame) -> DataFrame:
-    """The model with the lowest mean absolute error per series and horizon (ties by name)."""
+    """The model with the lowest mean absolute error per series and horizon.
+
+    Errors equal to nine decimals tie, whatever order their sums were taken in; ties go by name.
+    """
     per_model = results.groupBy(KEY, "horizon", "model").agg(
         F.avg("mae").alias("mae"), F.avg("rmse").alias("rmse"), F.count("*").alias("forecasts")
     )
     return per_model.groupBy(KEY, "horizon").agg(
-        F.min(F.struct("mae", "model", "rmse", "forecasts")).alias("b")
+        F.min(F.struct(F.round("mae", 9), "model", "mae", "rmse", "forecasts")).alias("b")
     ).select(KEY, "horizon", "b.model", "b.mae", "b.rmse", "b.forecasts")
 
 

@@ -315,7 +315,7 @@ results AS (
   FROM forecasts JOIN bounds USING (region_clean, "window")
   JOIN (SELECT unnest({GEOMETRY.horizons}) AS horizon) h ON horizon >= lead),
 per_model AS (SELECT region_clean, horizon, model, avg(mae) AS mae, avg(rmse) AS rmse, count(*) AS forecasts FROM results GROUP BY 1, 2, 3),
-best AS (SELECT * FROM per_model QUALIFY row_number() OVER (PARTITION BY region_clean, horizon ORDER BY mae, model) = 1),
+best AS (SELECT * FROM per_model QUALIFY row_number() OVER (PARTITION BY region_clean, horizon ORDER BY round(mae, 9), model) = 1),
 complete AS (
   SELECT region_clean, ts_utc, {", ".join(REGION_MEASURES)}, {", ".join(FEATURES)}, 'actual' AS data_type, 0 AS forecast_horizon, 'actual' AS model,
          consumption_mw AS forecast_mw, NULL::DOUBLE AS mae, NULL::DOUBLE AS rmse, NULL::DOUBLE AS r2 FROM filled
@@ -393,7 +393,7 @@ def last_actual(spark: SparkSession, sf: str) -> DataFrame:
 SQL_BEST_LONG = """
 best_long AS (
   SELECT region_clean, forecast_horizon, model, forecast_mw, mae, rmse FROM long_fact WHERE rmse IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY region_clean, forecast_horizon ORDER BY rmse, mae, model, ts_utc, forecast_mw) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY region_clean, forecast_horizon ORDER BY round(rmse, 9), round(mae, 9), model, ts_utc, forecast_mw) = 1)"""
 SQL_BEST_SHORT = """
 counted AS (
   SELECT region_clean, forecast_horizon, model, count(*) AS forecast_count, avg(mae) AS avg_mae, avg(rmse) AS avg_rmse,

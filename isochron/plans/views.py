@@ -81,8 +81,10 @@ def _place_forecasts(best: DataFrame, complete: DataFrame, region: DataFrame, ho
 
 
 def rank_models_by_error(long_fact: DataFrame) -> DataFrame:
-    """The single best row per region and horizon: lowest rmse, then mae, then model, time."""
-    order = Window.partitionBy(KEY, "forecast_horizon").orderBy("rmse", "mae", "model", "ts_utc", "forecast_mw")
+    """The single best row per region and horizon: lowest rmse, then mae (to nine decimals), then model, time."""
+    order = Window.partitionBy(KEY, "forecast_horizon").orderBy(
+        F.round("rmse", 9), F.round("mae", 9), "model", "ts_utc", "forecast_mw"
+    )
     ranked = long_fact.where(F.col("rmse").isNotNull()).withColumn("rank_num", F.row_number().over(order))
     return ranked.where("rank_num = 1").select(KEY, "forecast_horizon", "model", "forecast_mw", "mae", "rmse")
 
