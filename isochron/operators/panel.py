@@ -167,11 +167,14 @@ def model_features(
     return add_cyclic(featured, hour=24, dow=7)
 
 
-def feature_names(stem: str = "consumption", lags: Sequence[int] = FEATURE_LAGS, spans: Sequence[int] = FEATURE_SPANS) -> list[str]:
-    return [
-        *[f"{stem}_lag_{k}" for k in lags], *[f"{stem}_rolling_mean_{n}" for n in spans],
-        "hour", "dow", "month", "hour_sin", "hour_cos", "dow_sin", "dow_cos",
-    ]
+def feature_names(
+    stem: str = "consumption", lags: Sequence[int] = FEATURE_LAGS, spans: Sequence[int] = FEATURE_SPANS, horizon: int = 0,
+) -> list[str]:
+    """Names of the model features. With a horizon only those known that many steps ahead: lags that long, and the calendar."""
+    history = [f"{stem}_lag_{k}" for k in lags if k >= horizon]
+    if not horizon:
+        history += [f"{stem}_rolling_mean_{n}" for n in spans]
+    return [*history, "hour", "dow", "month", "hour_sin", "hour_cos", "dow_sin", "dow_cos"]
 
 
 def quality_filter(df: DataFrame, measure: str, low: float | None = None, high: float | None = None,

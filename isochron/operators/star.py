@@ -136,24 +136,34 @@ def _renamed_measures(columns: list[str], mapping: dict[str, str], absent: Colum
     ]
 
 
-def fact_demand_hourly(demand: DataFrame, time: DataFrame, region: DataFrame, holiday: DataFrame) -> DataFrame:
-    """Hourly demand with keys of time, region and (one) holiday, defaults, renewable share; positive demand only."""
+def fact_demand_hourly(
+    demand: DataFrame, holiday: DataFrame, time: DataFrame | None = None, region: DataFrame | None = None,
+) -> DataFrame:
+    """Hourly demand with keys of time, region and (one) holiday, defaults, renewable share; positive demand only.
+
+    The keys of time and region are hashes of the natural keys. Dimensions that were built from this very table hold all
+    of its hours and regions, so they need not be joined; hand in others to keep only the rows they know.
+    """
     # The filter stands before the joins: it is on a stored column and reaches the scan.
-    kept = demand.where(F.col("consommation_mw") > 0)
+    kept = demand.where(
+        (F.col("consommation_mw") > 0) & F.col("ts_utc").isNotNull() & F.col("region_clean").isNotNull()
+    )
     if "ts_paris" not in kept.columns:
         kept = add_calendar(kept, only=[])
-    kept = kept.select(
+    keyed = kept.select(
         "ts_utc", "region_clean", F.to_date("ts_paris").alias("date_paris"),
         *_renamed_measures(kept.columns, DEMAND_MEASURES, F.lit(0.0)),
     )
-    keyed = (
-        kept.join(time.select("ts_utc", "time_id"), "ts_utc")
-        .join(region.select("region_clean", "region_id"), "region_clean")
-        .join(one_per_date(holiday).select("date_paris", "holiday_id"), "date_paris", "left")
-    )
+    if time is not None:
+        keyed = keyed.join(time.select("ts_utc"), "ts_utc", "left_semi")
+    if region is not None:
+        keyed = keyed.join(region.select("region_clean"), "region_clean", "left_semi")
+    keyed = keyed.join(one_per_date(holiday).select("date_paris", "holiday_id"), "date_paris", "left")
+    instant, name = F.col("ts_utc"), F.col("region_clean")
     return keyed.select(
-        surrogate_key(F.col("ts_utc"), F.col("region_clean")).alias("electricity_record_id"),
-        "time_id", "region_id", "holiday_id", *DEMAND_MEASURES.values(), "ts_utc", "region_clean",
+        surrogate_key(instant, name).alias("electricity_record_id"),
+        surrogate_key(instant).alias("time_id"), surrogate_key(name).alias("region_id"), "holiday_id",
+        *DEMAND_MEASURES.values(), "ts_utc", "region_clean",
         renewable_ratio(F.col("consumption_mw"), *map(F.col, RENEWABLE_MEASURES)).alias("renewable_ratio"),
     )
 
@@ -173,12 +183,11 @@ def fact_weather_hourly(
         kept = with_weather_type(kept, types, cumulative)
     else:
         kept = kept.withColumn("weather_type_id", F.lit("default"))
-    keyed = kept.join(time.select("ts_utc", "time_id"), "ts_utc").join(
-        region.select("region_clean", "region_id"), "region_clean"
-    )
-    return keyed.select(
-        surrogate_key(F.col("ts_utc"), F.col("region_clean")).alias("weather_record_id"),
-        "time_id", "region_id", "weather_type_id",
+    known = kept.join(time.select("ts_utc"), "ts_utc", "left_semi").join(region.select("region_clean"), "region_clean", "left_semi")
+    instant, name = F.col("ts_utc"), F.col("region_clean")
+    return known.select(
+        surrogate_key(instant, name).alias("weather_record_id"),
+        surrogate_key(instant).alias("time_id"), surrogate_key(name).alias("region_id"), "weather_type_id",
         *_renamed_measures(weather.columns, WEATHER_MEASURES, F.lit(absent)),
         "ts_utc", "region_clean",
     )

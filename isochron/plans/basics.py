@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isochron.functions import buckets, clock, numeric, text
-from isochron.operators import panel, shape
-from isochron.operators.regions import enrich_cities, top_groups
+from isochron.operators import panel, regions, shape
 from isochron.plans import inputs
 from isochron.plans.registry import query
 from isochron.sources import records
@@ -105,12 +104,12 @@ WITH {SQL_LINKS}
 SELECT region, city, count(*) OVER (PARTITION BY region) AS city_count, trim(region) AS region_clean,
        replace(upper(substr(city, 1, 1)), 'ẞ', 'SS') AS city_first_letter FROM links""")
 def entity_enrich(spark: Session, sf: str) -> Rows:
-    return enrich_cities(_links(spark, sf))
+    return regions.enrich_cities(_links(spark, sf))
 
 
 @query(f"WITH {SQL_LINKS} SELECT region, count(*) AS cities FROM links GROUP BY 1 ORDER BY cities DESC, region LIMIT 5")
-def top_group(spark: Session, sf: str) -> Rows:
-    return top_groups(_links(spark, sf), "region", F.count("*"), "cities")
+def top_groups(spark: Session, sf: str) -> Rows:
+    return regions.top_groups(_links(spark, sf), "region", F.count("*"), "cities")
 
 
 def _digests(spark: Session, sf: str, function) -> Rows:

@@ -65,15 +65,19 @@ filled AS (
   FROM history WINDOW w AS (PARTITION BY region_clean ORDER BY ts_utc))"""
 
 
-SQL_SPLIT = f"""
+def _sql_split(g: Geometry) -> str:
+    return f"""
 split AS (
-  SELECT f.*, w.range::INT AS window, (idx - w.range * {GEOMETRY.step} - {GEOMETRY.train} + 1)::INT AS lead,
-         CASE WHEN idx - w.range * {GEOMETRY.step} >= {GEOMETRY.train} THEN 'test' ELSE 'train' END AS role
-  FROM filled f JOIN range({GEOMETRY.max_windows}) w
-    ON idx >= w.range * {GEOMETRY.step} AND idx < w.range * {GEOMETRY.step} + {GEOMETRY.train + GEOMETRY.test}
-    AND w.range * {GEOMETRY.step} + {GEOMETRY.train + GEOMETRY.test} <= n_rows),
+  SELECT f.*, w.range::INT AS window, (idx - w.range * {g.step} - {g.train} + 1)::INT AS lead,
+         CASE WHEN idx - w.range * {g.step} >= {g.train} THEN 'test' ELSE 'train' END AS role
+  FROM filled f JOIN range({g.max_windows}) w
+    ON idx >= w.range * {g.step} AND idx < w.range * {g.step} + {g.train + g.test}
+    AND w.range * {g.step} + {g.train + g.test} <= n_rows),
 train AS (SELECT *, consumption_mw AS y FROM split WHERE role = 'train'),
 test AS (SELECT region_clean, "window", lead, ts_utc, consumption_mw AS actual_mw FROM split WHERE role = 'test')"""
+
+
+SQL_SPLIT = _sql_split(GEOMETRY)
 SQL_TYPES = f"{inputs.SQL_TYPE_PANEL}, {SQL_FILLED}, {SQL_SPLIT}"
 SQL_TYPES_FEATURES = f"{inputs.SQL_TYPE_PANEL}, {_sql_features([])}, {SQL_SPLIT}"
 
@@ -178,6 +182,26 @@ def fc_baselines(spark: SparkSession, sf: str) -> DataFrame:
     return models.baselines(_filled_split(spark, sf)).drop("sarimax_baseline_used")
 
 
+SQL_DAILY = inputs.sql_dense("""
+  SELECT o_orderstatus AS region_clean, o_orderdate AS ts_utc, sum(o_totalprice) AS consumption_mw FROM orders GROUP BY 1, 2
+""").replace("INTERVAL 1 HOUR", "INTERVAL 1 DAY")
+
+
+@query(f"""WITH {SQL_DAILY}, {SQL_FILLED}, {_sql_split(Geometry())}
+SELECT *, 'baseline_naive' AS model FROM ({SQL_NAIVE}) UNION ALL SELECT *, 'baseline_seasonal_naive' FROM ({SQL_SEASONAL_NAIVE})
+UNION ALL SELECT *, 'baseline_moving_average' FROM ({SQL_MOVING_AVERAGE}) UNION ALL SELECT *, 'SARIMAX' FROM ({SQL_SDIFF})
+""", rounded=_SHOWN)
+def fc_long_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """The default geometry (1440 training rows, five windows) on the daily order totals per status."""
+    daily = inputs.table(spark, sf, "orders").groupBy(
+        F.col("o_orderstatus").alias("region_clean"), F.col("o_orderdate").cast("timestamp").alias("ts_utc")
+    ).agg(F.sum("o_totalprice").alias("consumption_mw"))
+    dense = panel.densify(stored(daily, "daily-panel"), KEY, grain="day")
+    split = backtest.split_windows(stored(panel.fill_gaps(dense, KEY, ["consumption_mw"]), "filled"), Geometry())
+    forecasts = models.last_value_models(split).unionByName(models.seasonal_difference_model(split))
+    return forecasts.drop("sarimax_baseline_used")
+
+
 @query(f"WITH {SQL_TYPES} {SQL_SDIFF}", rounded=_SHOWN)
 def fc_sdiff(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(models.seasonal_difference_model(_filled_split(spark, sf)))
@@ -420,7 +444,7 @@ def _february_holidays(spark: SparkSession, sf: str) -> DataFrame:
     """Holidays of the days after the last event: January rows moved on by thirty days."""
     rows = inputs.january_holidays(spark, sf)
     moved = F.date_format(F.date_add(F.to_date("date"), 30), "yyyy-MM-dd")
-    return star.dim_holiday(holiday_features(rows.withColumn("date", moved)))
+    return stored(star.dim_holiday(holiday_features(rows.withColumn("date", moved))), "dim-holiday")
 
 
 def _view_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:

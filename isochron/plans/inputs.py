@@ -13,7 +13,6 @@ from isochron.fixed_values import REGIONS
 from isochron.functions.binding import literal
 from isochron.functions.regions import LABELS
 from isochron.operators.panel import densify, mean_by_step
-from isochron.operators.regions import add_regions
 from isochron.session import stored
 from isochron.sources.tables import scan
 
@@ -169,16 +168,17 @@ readings AS (
 
 
 def holiday_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw holidays: distinct (date, priority) of large urgent orders and of large others, typed by priority."""
+    """Raw holidays: distinct (date, priority) of large orders, typed by priority; stored, as calendars read them often."""
     big = table(spark, sf_dir, "orders").where(F.col("o_totalprice") > 450000)
     types = ["National", "Regional", "Observance", "Season", "Other"]
     rank = F.substring("o_orderpriority", 1, 1).cast("int")
-    return big.select(
+    rows = big.select(
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit("France").alias("country"),
         F.lit(True).alias("is_holiday"), F.concat(F.lit("Holiday "), F.col("o_orderpriority")).alias("holiday_name"),
         pick(types, rank - 1).alias("holiday_type"),
         F.when(rank == 2, "Regional").otherwise("National").alias("location"),
-    ).distinct()
+    )
+    return stored(rows.distinct(), "holiday-rows")
 
 
 def january_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,7 +46,7 @@ def build_gold(spark: SparkSession, base: str) -> None:
     for name, dimension in dimensions.items():
         write_table(dimension, f"{base}/{name}")
     time, region, types, holiday = [scan(spark, f"{base}/{name}") for name in dimensions]
-    write_partitioned(star.fact_demand_hourly(demand, time, region, holiday), f"{base}/fact_electricity_hourly")
+    write_partitioned(star.fact_demand_hourly(demand, holiday), f"{base}/fact_electricity_hourly")
     write_partitioned(star.fact_weather_hourly(weather, time, region, types), f"{base}/fact_weather_hourly")
 
 

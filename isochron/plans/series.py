@@ -145,12 +145,12 @@ def holiday_distribution(spark: SparkSession, sf: str) -> DataFrame:
 # Star schema over the events: demand, weather, holidays of January.
 
 def _demand_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The demand table, stored once, and the dimensions of the demand fact."""
+    """The demand table and the holidays, stored once, and the dimensions of the demand fact."""
     demand = stored(panel.add_calendar(inputs.region_demand(spark, sf), only=[]), "demand")
-    holidays = holiday_ops.holiday_features(inputs.january_holidays(spark, sf))
+    holidays = star.dim_holiday(holiday_ops.holiday_features(inputs.january_holidays(spark, sf)))
     return {
         "demand": demand, "dim_time": star.dim_time(demand), "dim_region": star.dim_region(demand),
-        "dim_holiday": star.dim_holiday(holidays),
+        "dim_holiday": stored(holidays, "dim-holiday"),
     }
 
 
@@ -161,7 +161,7 @@ def _star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def _demand_fact(t: dict[str, DataFrame]) -> DataFrame:
-    return star.fact_demand_hourly(t["demand"], t["dim_time"], t["dim_region"], t["dim_holiday"])
+    return star.fact_demand_hourly(t["demand"], t["dim_holiday"])
 
 
 def _weather_fact(t: dict[str, DataFrame]) -> DataFrame:

@@ -120,3 +120,8 @@ def test_quality_filter(spark):
     assert panel.quality_filter(df, "v", low=0).count() == 3
     assert panel.quality_filter(df, "v", low=0, high=60, keep_null=False, closed=False).count() == 0
     assert panel.quality_filter(df, "v", low=0, high=60, keep_null=False).agg(F.count("*")).first()[0] == 2
+
+
+def test_features_known_at_a_horizon():
+    assert panel.feature_names(horizon=12)[:3] == ["consumption_lag_12", "consumption_lag_24", "hour"]
+    assert len(panel.feature_names()) == 6 + 4 + 7
