@@ -22,11 +22,14 @@ def with_defaults(df: DataFrame, spec: T.StructType, default=None) -> DataFrame:
     return df.withColumns(absent) if absent else df
 
 
+def clean_names(names: list[str]) -> list[str]:
+    """Trimmed names, runs of white space (also no-break spaces) as one, known spellings renamed."""
+    trimmed = [re.sub(r"[^\S\t]+", " ", name.removeprefix("\ufeff")).strip() for name in names]
+    return [HEADER_SYNONYMS.get(name, name) for name in trimmed]
+
+
 def clean_headers(df: DataFrame) -> DataFrame:
-    """Trim names, join runs of white space (also no-break spaces), rename known spellings."""
-    trimmed = [re.sub(r"[^\S\t]+", " ", name.removeprefix("\ufeff")).strip() for name in df.columns]
-    renamed = [HEADER_SYNONYMS.get(name, name) for name in trimmed]
-    return df.toDF(*renamed)
+    return df.toDF(*clean_names(df.columns))
 
 
 def split_packed(df: DataFrame, packed: str, separator: str = "\t") -> DataFrame:

@@ -1,13 +1,16 @@
-"""Delimited text of unknown dialect: detection per file as a Spark aggregation, then Spark's CSV reader per dialect."""
+"""Delimited text of unknown dialect: detection per file as a Spark aggregation, then one scan parsed by layout."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import csv
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from isochron.functions.clock import local_to_utc, parse_local_day_first, utc_to_local
 from isochron.functions.numeric import coerce_numeric
-from isochron.operators.shape import clean_headers, concat_tables, lead_with, quoted, split_all_packed
+from isochron.operators.shape import clean_names, lead_with
+from isochron.session import stored
 
 # Delimiters in order of preference, and the encodings of valid and invalid UTF-8 files.
 DELIMITERS = ["\t", ";", "|", ","]
@@ -62,33 +65,54 @@ def region_of(file_name: Column) -> Column:
     return F.regexp_extract(file_name, r"^(.*?)(?:_encours_mensuel.*|\.[^.]*)?$", 1)
 
 
+def _decoded(text: Column, encoding: Column) -> Column:
+    """Text of a file that is not UTF-8, from its bytes."""
+    latin = F.translate(F.decode(text.cast("binary"), ENCODINGS[1]), CONTROLS, WINDOWS)
+    return F.when(encoding == ENCODINGS[1], latin).otherwise(text)
+
+
+def _fields(layout: Row, parsed: Column) -> dict[str, Column]:
+    """Column name -> field of a parsed line; a name packed with tabs stands for several fields."""
+    fields = {}
+    for i, name in enumerate(next(csv.reader([layout["head"]], delimiter=layout["separator"]))):
+        cell, parts = parsed[f"c{i}"], name.split("\t")
+        for j, part in enumerate(clean_names(parts)):
+            if part:
+                fields[part] = F.get(F.split(cell, "\t"), F.lit(j)) if len(parts) > 1 else cell
+    return fields
+
+
 def load(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All files as one table with region, zip_member and zip_name from their file names.
+    """All files as one table of texts with region, zip_member and zip_name from their file names.
 
-    Only the list of file names per dialect and header comes to the driver, as it does for any reader given paths.
+    After the detection all files are read in one scan: each line is joined to its file's layout and parsed by it. Only
+    the distinct layouts (separator, encoding, header) come to the driver, never lists of files.
     """
     known = dialects(spark, paths)
-    header = spark.read.text(paths).select(_path(), "value", F.col("_metadata.file_block_start").alias("start"))
-    first_lines = header.withColumn("at", F.monotonically_increasing_id()).where(F.trim("value") != "")
-    heads = first_lines.groupBy("path").agg(F.min_by("value", F.struct("start", "at")).alias("head"))
-    groups = known.join(heads, "path").groupBy("separator", "encoding", "head").agg(
-        F.array_sort(F.collect_list("path")).alias("paths")
+    lines = spark.read.text(paths).select(_path(), "value", F.col("_metadata.file_block_start").alias("start"))
+    placed = lines.withColumn("at", F.monotonically_increasing_id()).where(F.trim("value") != "")
+    heads = placed.groupBy("path").agg(F.min_by("value", F.struct("start", "at")).alias("head"))
+    files = stored(
+        known.join(heads, "path").withColumn("head", _decoded(F.col("head"), F.col("encoding"))), "file-layouts"
+    )
+    layouts = files.select("separator", "encoding", "head").distinct().orderBy("head", "separator").collect()
+
+    rows = lines.join(files, "path").withColumn("text", _decoded(F.col("value"), F.col("encoding")))
+    rows = rows.where((F.trim("text") != "") & (F.col("text") != F.col("head")))
+    parsed, columns = {}, {}
+    for i, layout in enumerate(layouts):
+        width = len(next(csv.reader([layout["head"]], delimiter=layout["separator"])))
+        mine = (F.col("head") == layout["head"]) & (F.col("separator") == layout["separator"])
+        schema = ", ".join(f"c{j} string" for j in range(width))
+        parsed[f"_p{i}"] = F.when(mine, F.from_csv("text", F.lit(schema), {"sep": layout["separator"]}))
+        for name, field in _fields(layout, F.col(f"_p{i}")).items():
+            columns.setdefault(name, []).append(field)
+    table = rows.withColumns(parsed | {"zip_name": F.element_at(F.split("path", "/"), -1)})
+    return table.select(
+        region_of(F.col("zip_name")).alias("region"),
+        *[F.coalesce(*fields).alias(name) for name, fields in columns.items()],
+        F.col("zip_name").alias("zip_member"), "zip_name",
     )
-    tables = [_read(spark, g["paths"], g["separator"], g["encoding"]) for g in groups.orderBy("head").collect()]
-    return concat_tables(*tables)
-
-
-def _read(spark: SparkSession, paths: list[str], separator: str, encoding: str) -> DataFrame:
-    reader = spark.read.option("header", True).option("sep", separator).option("encoding", encoding)
-    rows = reader.csv(paths)
-    if encoding == ENCODINGS[1]:
-        rows = rows.select(*[
-            F.translate(F.col(quoted(c)), CONTROLS, WINDOWS).alias(c.translate(str.maketrans(CONTROLS, WINDOWS)))
-            for c in rows.columns
-        ], "_metadata")
-    placed = rows.select("*", F.element_at(F.split(_path(), "/"), -1).alias("zip_name"))
-    tidy = clean_headers(split_all_packed(placed.drop("_metadata")))
-    return tidy.withColumns({"zip_member": F.col("zip_name"), "region": region_of(F.col("zip_name"))})
 
 
 def add_local_timestamp(df: DataFrame) -> DataFrame:

@@ -17,20 +17,22 @@ def files(tmp_path):
     (tmp_path / "Bretagne_encours_mensuel.csv").write_bytes("\n".join(DEMAND).encode("utf-8"))
     tabbed = "\n".join(DEMAND).replace(";", "\t")
     (tmp_path / "Île de France_encours_mensuel.xls").write_bytes(tabbed.encode("cp1252"))
+    (tmp_path / "Occitanie.csv").write_text('"Date\tHeures\tPompage"\n"02/07/2024\t01:00\t3"\n"02/07/2024\t02:00\t4"\n')
     (tmp_path / "Corse.txt").write_bytes("Date|Heures|Solaire\n27.10.2024|02:30|-3\n28.10.2024|2:30|1,5\n".encode())
     return str(tmp_path)
 
 
 def test_dialects(spark, files):
     found = {os.path.basename(r["path"])[:4]: (r["separator"], r["encoding"]) for r in delimited.dialects(spark, files).collect()}
-    assert found == {"Bret": (";", "UTF-8"), "Île ": ("\t", "ISO-8859-1"), "Cors": ("|", "UTF-8")}
+    assert found == {"Bret": (";", "UTF-8"), "Île ": ("\t", "ISO-8859-1"), "Cors": ("|", "UTF-8"), "Occi": ("\t", "UTF-8")}
 
 
 def test_demand_table(spark, files):
     found = delimited.demand_table(spark, files)
     assert found.columns[:4] == ["region", "date", "heure", "ts_local"]
     rows = {(r["region"], r["date"]): r for r in found.collect()}
-    assert len(rows) == 6
+    assert len(rows) == 7 and found.count() == 8
+    assert rows["Occitanie", "02/07/2024"]["pompage_mw"] in (3.0, 4.0)
     july = rows["Île de France", "01/07/2024"]
     assert july["consommation_mw"] == 1234.5 and july["eolien_mw"] is None and july["perimetre"] == "l’été"
     assert july["solaire_mw"] is None and july["zip_name"] == "Île de France_encours_mensuel.xls"
