@@ -8,8 +8,10 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isochron.llm import quality, sharding
-from isochron.session import apply_settings
+import public_tokenizers
+
+from isochron.llm import bitplanes, packing, quality, sharding
+from isochron.session import apply_settings, fresh_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +52,24 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded, written as byte planes in ascending doc_id order, and read back from the files."""
+    target = fresh_path(spark, "token-planes")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bitplanes.write(documents(spark, sf_dir), target, public_tokenizers.path("word_bpe_49k.json"), 2, False, parts)
+    return bitplanes.read(spark, target).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query()
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    pieces = packing.token_pieces(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), 2, 1024)
+    kept = stored(pieces, "token-pieces")
+    digests = kept.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(digests, 1024)
+
+
 SQL_QUALITY_COUNTS = r"""
 SELECT doc_id, t, w, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, length(regexp_replace(t, '[^!]', '', 'g')) AS n_marks,
