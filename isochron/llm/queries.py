@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from isochron.llm import bitplanes, packing, quality, sharding
+from isochron.llm import bitplanes, packing, quality, sharding, sketches, urls
 from isochron.session import apply_settings, fresh_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,50 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+SQL_URLS = r"""
+WITH parts AS (
+  SELECT page_id, coalesce(lower(url), '') AS low,
+    translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+),
+ruled AS (
+  SELECT *, CASE {rules} END AS rule,
+    len(list_filter({strict}, lambda t: regexp_matches(low, '(^|[^a-z])' || t || '($|[^a-z])'))) AS strict_terms,
+    len(list_filter({soft}, lambda t: regexp_matches(low, '(^|[^a-z])' || t || '($|[^a-z])'))) AS soft_terms
+  FROM parts
+)
+SELECT page_id, host, path, rule,
+  CASE {verdicts} WHEN strict_terms >= 1 OR soft_terms >= {limit} THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled"""
+
+
+def urls_sql() -> str:
+    longest = sorted(urls.SITE_RULES, key=lambda r: -len(r.name))
+    rules = " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.name}'" for r in longest
+    )
+    verdicts = " ".join(f"WHEN rule = '{r.name}' THEN '{r.verdict}'" for r in longest)
+    return SQL_URLS.replace("{rules}", rules).replace("{verdicts}", verdicts).replace("{limit}", str(urls.SOFT_LIMIT)).replace(
+        "{strict}", repr(list(urls.STRICT_TERMS))).replace("{soft}", repr(list(urls.SOFT_TERMS)))
+
+
+@query(urls_sql())
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by site rules, else by the weighted vocabulary."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k sketches of every text and its edited text, and how alike they are."""
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = sketches.fingerprints(documents(spark, sf_dir), parts=parts)
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        sketches.as_text(F.col("sketch")).alias("fingerprint"), sketches.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited", "near_next",
+    )
