@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from isochron.llm import bitplanes, packing, quality, sharding, sketches, urls
+from isochron.llm import bitplanes, near_dups, packing, quality, sharding, sketches, urls
 from isochron.session import apply_settings, fresh_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,9 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         sketches.as_text(F.col("sketch")).alias("fingerprint"), sketches.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         "near_edited", "near_next",
     )
+
+
+@query()
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles are alike at 0.8."""
+    return near_dups.near_duplicates(documents(spark, sf_dir), width=4)
