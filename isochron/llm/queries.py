@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from isochron.llm import bitplanes, near_dups, packing, quality, sharding, sketches, urls
+from isochron.llm import bitplanes, near_dups, packing, quality, sharding, sketches, toxicity, urls
 from isochron.session import apply_settings, fresh_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,15 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of four-word shingles are alike at 0.8."""
     return near_dups.near_duplicates(documents(spark, sf_dir), width=4)
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the clause grammar, learnt on two thirds of the labels."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    texts = documents(spark, sf_dir)
+    scored = toxicity.score(texts, toxicity.train(texts, labels))
+    return scored.select(
+        "doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
