@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from isochron.llm import bitplanes, near_dups, packing, quality, sharding, sketches, toxicity, urls
+from isochron.llm import bitplanes, near_dups, packing, quality, sharding, sketches, toxicity, urls, word_shuffle
 from isochron.session import apply_settings, fresh_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,18 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digests, 1024)
 
 
+@query()
+def op5_word_shuffle_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded through its distinct pre-tokens, and decoded again."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ids = word_shuffle.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN, buckets)
+    return word_shuffle.decode(ids, path).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 SQL_QUALITY_COUNTS = r"""
 SELECT doc_id, t, w, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, length(regexp_replace(t, '[^!]', '', 'g')) AS n_marks,
