@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from isochron.llm import bitplanes, near_dups, packing, quality, sharding, sketches, toxicity, urls, word_shuffle
+from isochron.llm import bitplanes, near_dups, packing, pseudo_likelihood, quality, sharding, sketches, toxicity, urls, word_shuffle
 from isochron.session import apply_settings, fresh_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,12 @@ def op2_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read(spark, target).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query()
+def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a window network trained on all documents."""
+    return pseudo_likelihood.pseudo_likelihood(documents(spark, sf_dir))
+
+
 @query()
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
