@@ -20,14 +20,19 @@ ORACLES: dict[str, str] = {}
 BATCH_ROWS = "1000"
 
 
+def prepared(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Put the settings of this package on the session first."""
+    @wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_settings(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return build(spark, sf_dir)
+
+    return run
+
+
 def query(sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
-        @wraps(build)
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            apply_settings(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-            return build(spark, sf_dir)
-
-        QUERIES[build.__name__] = run
+        QUERIES[build.__name__] = prepared(build)
         if sql:
             ORACLES[build.__name__] = sql
         return build

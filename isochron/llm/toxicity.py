@@ -22,6 +22,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -269,3 +270,15 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(features), pa.float64())], names=["doc_id", "score"])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, score double")
+
+
+def score_column(text: Column, model: Model) -> Column:
+    """The score as a column expression, for filters beside other columns."""
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        grammar = Grammar(model.lexicon)
+        for texts in batches:
+            features = np.array([grammar.document(t) for t in texts]).reshape(len(texts), FEATURES)
+            yield pd.Series(model.score(features))
+
+    return run(text)
