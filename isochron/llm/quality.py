@@ -23,6 +23,9 @@ STOP_WORDS = (
     "el los las y del se por con una su para como más no lo al"
 )
 
+# Texts with fewer words may lack function words by chance.
+JUDGED_FROM = 30
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -41,7 +44,7 @@ RULES = (
     Rule("symbols", "try_divide(n_symbols, n_words)", high=0.15),
     Rule("exclamations", "try_divide(n_marks, n_words)", high=0.5),
     Rule("capitals", "try_divide(n_capitals, word_chars)", high=0.5),
-    Rule("stop_words", "try_divide(n_stop_words, n_words)", low=0.02),
+    Rule("stop_words", "try_divide(n_stop_words, n_judged)", low=0.02),
     Rule("duplicate_lines", "try_divide(n_dup_lines, n_lines)", high=0.5),
 )
 
@@ -101,6 +104,7 @@ def counts(text: Column, stop_words: Sequence[str] = tuple(STOP_WORDS.split()))
         "n_lines": F.size("_lines").cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "n_stop_words": F.size(F.filter(in_words, lambda w: F.lower(F.rtrim(w, F.lit(".,;:!?"))).isin(*stop_words))).cast("long"),
+        "n_judged": F.when(F.size(in_words) >= JUDGED_FROM, F.size(in_words)).otherwise(0).cast("long"),
         "n_repeat_words": repeated_cover(in_words, 5).cast("long"),
     }
 

@@ -94,7 +94,7 @@ def op5_word_shuffle_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_QUALITY_COUNTS = r"""
-SELECT doc_id, t, w, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+SELECT doc_id, t, w, len(w) AS n_words, CASE WHEN len(w) >= {judged} THEN len(w) ELSE 0 END AS n_judged, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, length(regexp_replace(t, '[^!]', '', 'g')) AS n_marks,
   length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
   len(list_filter(w, lambda x: list_contains({stops}, lower(regexp_replace(x, '[.,;:!?]+$', ''))))) AS n_stop_words
@@ -141,7 +141,7 @@ def quality_rules_sql() -> str:
 
 
 def quality_counts_sql() -> str:
-    return SQL_QUALITY_COUNTS.replace("{stops}", repr(quality.STOP_WORDS.split()))
+    return SQL_QUALITY_COUNTS.replace("{stops}", repr(quality.STOP_WORDS.split())).replace("{judged}", str(quality.JUDGED_FROM))
 
 
 @query(SQL_QUALITY.replace("{counts}", quality_counts_sql()).replace("{rules}", quality_rules_sql()))

@@ -156,7 +156,7 @@ def test_url_parts_rules_and_terms(spark):
         "https://casino.example.com/fr/1": ("casino.example.com", "/fr/1", "com/fr/", "allow"),
         "https://notexample.com/de/1": ("notexample.com", "/de/1", "com/de/", "block"),
         "ftp://free.example.net/a": ("free.example.net", "/a", None, "allow"), "ftp://free-bets.example.net/a": ("free-bets.example.net", "/a", None, "block"),
-        "x://alphabets.freedom.net/free/free": ("alphabets.freedom.net", "/free/free", None, "allow"),
+        "ftp://alphabets.freedom.net/free/free": ("alphabets.freedom.net", "/free/free", None, "allow"),
         "http://h?u=://evil.org/es/": ("h", "", None, "allow"), "a://b://c/d": ("b:", "//c/d", None, "allow"),
     }
     rows = spark.createDataFrame([(u, "mine") for u in cases], "url string, verdict string")
