@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isochron.plans import inputs
@@ -11,28 +10,27 @@ from isochron.plans.registry import query
 from isochron.session import fresh_path
 from isochron.streaming import hourly
 
+KEYS = ["region_clean"]
 SQL_HOURS = """
 SELECT event_type AS region_clean, date_trunc('hour', ts) AS ts_utc, avg(value) AS value, count(value) AS n FROM events GROUP BY 1, 2"""
 
 
-def _hourly(spark: SparkSession, sf: str) -> DataFrame:
+def _events(spark: SparkSession, sf: str) -> DataFrame:
     schema = T.StructType.fromDDL(inputs.SCHEMAS["events"])
-    stream = hourly.file_stream(spark, sf, schema, pattern="events.parquet")
-    return hourly.hourly_means(stream.withColumnRenamed("event_type", "region_clean"), ["region_clean"], "ts", "value")
+    return hourly.file_stream(spark, sf, schema, pattern="events.parquet").withColumnRenamed("event_type", "region_clean")
 
 
 @query(SQL_HOURS, rounded=["value"])
 def stream_hourly_agg(spark: SparkSession, sf: str) -> DataFrame:
-    """Tumbling hours in update mode, written as a changelog; the newest row per key."""
-    stream, target = _hourly(spark, sf), fresh_path(spark, "hourly-changelog")
-    hourly.run_changelog(stream, target, fresh_path(spark, "hourly-checkpoint"))
-    return hourly.latest(spark, target, stream.schema, ["region_clean", "ts_utc"])
+    """Sums and counts per micro-batch, added up when read."""
+    stream, target = _events(spark, sf), fresh_path(spark, "hourly-sums")
+    hourly.run_sums(stream, KEYS, "ts", "value", target, fresh_path(spark, "hourly-checkpoint"))
+    return hourly.read_means(stream, target, KEYS, "value")
 
 
 @query(f"SELECT *, ts_utc::DATE::VARCHAR AS day FROM ({SQL_HOURS})", rounded=["value"])
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """The same hours upserted into a fact partitioned by day."""
-    stream = _hourly(spark, sf).withColumn("day", F.date_format("ts_utc", "yyyy-MM-dd"))
-    target = fresh_path(spark, "hourly-fact")
-    hourly.run_upserts(stream, ["region_clean", "ts_utc"], target, fresh_path(spark, "upsert-checkpoint"), "day")
-    return spark.read.schema(stream.schema).parquet(target)
+    stream, target = _events(spark, sf), fresh_path(spark, "hourly-fact")
+    hourly.run_upserts(stream, KEYS, "ts", "value", target, fresh_path(spark, "upsert-checkpoint"))
+    return hourly.read_upserted(stream, KEYS, target, "value")

@@ -1,4 +1,9 @@
-"""Hourly means as a stream, and upserts of late hours into a stored fact."""
+"""Hourly means as a stream, exact for any order of files, and upserts of hours into a stored fact.
+
+A micro-batch is reduced to a sum and a count per key and hour and written to a folder named by its id. Sums and counts add up,
+so the reader gets the same means whatever the order of files and the size of batches; there is no state and no
+watermark, no row is too late, and a batch repeated after a failure replaces its own folder.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+PARTIAL = ("ts_utc timestamp", "value_sum double", "n bigint")
+
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
     return (
@@ -16,11 +23,20 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: s
     )
 
 
-def hourly_means(stream: DataFrame, keys: Sequence[str], ts: str, measure: str, lateness: str = "7 days") -> DataFrame:
-    """Tumbling hours with the mean and count of a measure; rows later than the watermark are dropped.
+def hourly_sums(rows: DataFrame, keys: Sequence[str], ts: str, measure: str) -> DataFrame:
+    """Sum and count of a measure per key and hour; combined on the map side."""
+    hour = F.date_trunc("hour", F.col(ts).cast("timestamp")).alias("ts_utc")
+    return rows.groupBy(*keys, hour).agg(F.sum(measure).alias("value_sum"), F.count(measure).alias("n"))
 
-    State is one small row per key and open hour, freed once the watermark has passed the hour.
-    """
+
+def means_of(sums: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
+    """Add up sums and counts, and divide; an hour without a value has a null mean."""
+    total = sums.groupBy(*keys, "ts_utc").agg(F.sum("value_sum").alias("_s"), F.sum("n").alias("n"))
+    return total.select(*keys, "ts_utc", F.try_divide("_s", F.col("n").cast("double")).alias(measure), "n")
+
+
+def windowed_means(stream: DataFrame, keys: Sequence[str], ts: str, measure: str, lateness: str) -> DataFrame:
+    """The same as stateful tumbling windows, for sinks that need final rows: rows later than the watermark are dropped."""
     timed = stream.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", lateness)
     hours = timed.groupBy(*keys, F.window("_at", "1 hour").alias("_hour"))
     return hours.agg(F.avg(measure).alias(measure), F.count(measure).alias("n")).select(
@@ -28,55 +44,67 @@ def hourly_means(stream: DataFrame, keys: Sequence[str], ts: str, measure: str,
     )
 
 
-def run_changelog(hourly: DataFrame, target: str, checkpoint: str) -> None:
-    """Write, per micro-batch, the hours that changed, in update mode: no batch rewrites earlier results.
+def _drain(stream: DataFrame, write, checkpoint: str) -> None:
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
 
-    A batch goes to a folder named by its id, so a batch repeated after a failure replaces itself.
-    """
+
+def run_sums(stream: DataFrame, keys: Sequence[str], ts: str, measure: str, target: str, checkpoint: str) -> None:
+    """Write the sums of each micro-batch to a folder named by its id."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        hourly_sums(batch, keys, ts, measure).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    query = (
-        hourly.writeStream.outputMode("update").foreachBatch(write)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    _drain(stream, write, checkpoint)
 
 
-def latest(spark: SparkSession, target: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
-    """The newest row of each key in a changelog."""
-    logged = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(target)
-    values = [f.name for f in schema.fields if f.name not in keys]
-    newest = logged.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
-    return newest.select(*keys, "_v.*")
+def _schema(keys: Sequence[str], stream: DataFrame, *more: str) -> str:
+    own = [f"`{k}` {stream.schema[k].dataType.simpleString()}" for k in keys]
+    return ", ".join([*own, *PARTIAL, *more])
 
 
-def upsert(batch: DataFrame, target: str, keys: Sequence[str], partition: str) -> None:
-    """Replace or add rows by key in a table partitioned by `partition`; only touched partitions are read and rewritten.
+def read_means(stream: DataFrame, target: str, keys: Sequence[str], measure: str) -> DataFrame:
+    """The means over all batches written so far."""
+    logged = stream.sparkSession.read.schema(_schema(keys, stream, "batch bigint")).parquet(target)
+    return means_of(logged, keys, measure)
 
-    The batch must hold one row per key. The list of touched partition values narrows the scan (partition pruning)
-    through a semi-join, so untouched partitions are neither read nor written.
-    """
-    spark = batch.sparkSession
-    touched = batch.select(partition).distinct()
-    try:
-        stored = spark.read.schema(batch.schema).parquet(target)
-        kept = stored.join(touched, partition, "left_semi").join(batch.select(*keys), list(keys), "left_anti")
-        rows = batch.unionByName(kept)
-    except Exception as error:
-        if getattr(error, "getCondition", lambda: "")() != "PATH_NOT_FOUND":
-            raise
-        rows = batch
-    (
-        rows.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition).parquet(target)
-    )
 
+# -- Upserts -------------------------------------------------------------------------------------------------------------
 
-def run_upserts(hourly: DataFrame, keys: Sequence[str], target: str, checkpoint: str, partition: str) -> None:
-    """Feed hourly means into a stored fact in update mode: an hour reached by late rows is replaced by its new mean."""
-    query = (
-        hourly.writeStream.outputMode("update").foreachBatch(lambda batch, _: upsert(batch, target, keys, partition))
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+
+def current_sums(spark: SparkSession, target: str, schema: str, before: int | None = None) -> DataFrame:
+    """The rows of each day in its newest version (below `before`). Which versions a day has is read from folder names."""
+    rows = spark.read.schema(schema).parquet(target)
+    if before is not None:
+        rows = rows.where(F.col("version") < before)
+    newest = rows.groupBy("day").agg(F.max("version").alias("version"))
+    return rows.join(newest, ["day", "version"], "left_semi")
+
+
+def run_upserts(stream: DataFrame, keys: Sequence[str], ts: str, measure: str, target: str, checkpoint: str) -> None:
+    """Keep a fact of hours, partitioned by day: a day reached by a batch is written anew as that batch's version.
+
+    Nothing that is read is overwritten: a version is made from older ones and the batch alone, so a batch that failed
+    at any point, or is repeated, gives the same version again. The batch's sums are written first and read from there.
+    """
+    spark = stream.sparkSession
+    schema = _schema(keys, stream, "version bigint", "day string")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fresh_path = f"{target}/sums/batch={batch_id}"
+        hourly_sums(batch, keys, ts, measure).write.mode("overwrite").parquet(fresh_path)
+        fresh = spark.read.schema(_schema(keys, stream)).parquet(fresh_path).withColumn("day", F.date_format("ts_utc", "yyyy-MM-dd"))
+        rows = fresh
+        if batch_id:
+            older = current_sums(spark, f"{target}/days", schema, batch_id).join(fresh.select("day").distinct(), "day", "left_semi")
+            rows = fresh.unionByName(older.drop("version"))
+        merged = rows.groupBy(*keys, "ts_utc", "day").agg(F.sum("value_sum").alias("value_sum"), F.sum("n").alias("n"))
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("day").parquet(f"{target}/days/version={batch_id}")
+
+    _drain(stream, write, checkpoint)
+
+
+def read_upserted(stream: DataFrame, keys: Sequence[str], target: str, measure: str) -> DataFrame:
+    """The fact as it stands: one row per key and hour, with its day."""
+    rows = current_sums(stream.sparkSession, f"{target}/days", _schema(keys, stream, "version bigint", "day string"))
+    mean = F.try_divide("value_sum", F.col("n").cast("double")).alias(measure)
+    return rows.select(*keys, "ts_utc", mean, "n", "day")

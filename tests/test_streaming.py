@@ -6,64 +6,109 @@ from pyspark.sql import functions as F
 from isochron.streaming import hourly
 
 SCHEMA = "region_clean string, ts timestamp, value double"
+KEYS = ["region_clean"]
 T0 = dt.datetime(2024, 1, 1)
 
 
 def add_file(spark, path, rows):
-    data = [(k, T0 + dt.timedelta(minutes=m), float(v)) for k, m, v in rows]
+    data = [(k, T0 + dt.timedelta(minutes=m), None if v is None else float(v)) for k, m, v in rows]
     spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def means(spark, source, lateness="2 hours"):
-    return hourly.hourly_means(hourly.file_stream(spark, source, SCHEMA), ["region_clean"], "ts", "value", lateness)
+def hours(df):
+    return {(r["region_clean"], int((r["ts_utc"] - T0).total_seconds() // 3600)): (r["value"], r["n"]) for r in df.collect()}
 
 
-def result(spark, stream, log):
-    found = hourly.latest(spark, log, stream.schema, ["region_clean", "ts_utc"]).collect()
-    return {(r["region_clean"], int((r["ts_utc"] - T0).total_seconds() // 3600)): (r["value"], r["n"]) for r in found}
+def test_sums_take_rows_of_any_age(spark, tmp_path):
+    source, log, checkpoint = (str(tmp_path / d) for d in ("in", "log", "checkpoint"))
 
+    def run():
+        stream = hourly.file_stream(spark, source, SCHEMA)
+        hourly.run_sums(stream, KEYS, "ts", "value", log, checkpoint)
+        return hours(hourly.read_means(stream, log, KEYS, "value"))
 
-def test_changelog_with_late_rows(spark, tmp_path):
-    source, log, checkpoint = (str(tmp_path / d) for d in ("in", "log", "checkpoint"))
-    add_file(spark, source, [("a", 10, 1), ("a", 20, 3), ("b", 70, 5)])
-    hourly.run_changelog(means(spark, source), log, checkpoint)
-    assert result(spark, means(spark, source), log) == {("a", 0): (2.0, 2), ("b", 1): (5.0, 1)}
-    # Still open: 05:00 minus two hours is past hour 0 only after the next batch.
-    add_file(spark, source, [("a", 30, 8), ("a", 300, 7)])
-    hourly.run_changelog(means(spark, source), log, checkpoint)
-    assert result(spark, means(spark, source), log)["a", 0] == (4.0, 3)
-    # Beyond the watermark (03:00): dropped. Inside it: counted.
-    add_file(spark, source, [("a", 40, 100), ("a", 310, 9)])
-    hourly.run_changelog(means(spark, source), log, checkpoint)
-    final = result(spark, means(spark, source), log)
-    assert final["a", 0] == (4.0, 3) and final["a", 5] == (8.0, 2)
-
-
-def test_stream_equals_batch_over_many_files(spark, tmp_path, small_dir):
-    source, log, checkpoint = (str(tmp_path / d) for d in ("in", "log", "checkpoint"))
+    add_file(spark, source, [("a", 10, 1), ("a", 20, 3), ("b", 70, 5), ("b", 130, None)])
+    assert run() == {("a", 0): (2.0, 2), ("b", 1): (5.0, 1), ("b", 2): (None, 0)}
+    add_file(spark, source, [("a", 500_000, 7)])
+    assert run()["a", 0] == (2.0, 2)
+    add_file(spark, source, [("a", 30, 8)])  # a year behind the newest row
+    assert run()["a", 0] == (4.0, 3)
+
+
+def write_newest_first(spark, small_dir, source):
+    """The events as one file per range of time, the newest file written first."""
     events = spark.read.parquet(f"{small_dir}/events.parquet").select(
         F.col("event_type").alias("region_clean"), F.col("ts").cast("timestamp").alias("ts"), "value")
-    events.repartitionByRange(5, "ts").write.parquet(source)
-    stream = hourly.hourly_means(hourly.file_stream(spark, source, SCHEMA, files_per_batch=1), ["region_clean"], "ts", "value", "60 days")
-    hourly.run_changelog(stream, log, checkpoint)
-    assert len([d for d in os.listdir(log) if d.startswith("batch=")]) >= 5
-    batch = events.groupBy("region_clean", F.date_trunc("hour", "ts").alias("ts_utc")).agg(
+    bounds = events.select(F.percentile_approx(F.unix_seconds("ts"), [0.2, 0.4, 0.6, 0.8])).first()[0]
+    low = [None, *bounds]
+    high = [*bounds, None]
+    for age, (a, b) in enumerate(reversed(list(zip(low, high)))):
+        at = F.unix_seconds("ts")
+        part = events.where((at >= a) if a is not None else F.lit(True)).where((at < b) if b is not None else F.lit(True))
+        part.coalesce(1).write.mode("append").parquet(source)
+        for name in os.listdir(source):
+            if name.endswith(".parquet"):
+                path = os.path.join(source, name)
+                if os.path.getmtime(path) > 10**9 + 10:
+                    os.utime(path, (10**9 - 1000 + age, 10**9 - 1000 + age))
+    return events
+
+
+def batch_result(events):
+    return events.groupBy("region_clean", F.date_trunc("hour", "ts").alias("ts_utc")).agg(
         F.round(F.avg("value"), 6).alias("value"), F.count("value").alias("n"))
-    streamed = hourly.latest(spark, log, stream.schema, ["region_clean", "ts_utc"]).withColumn("value", F.round("value", 6))
+
+
+def test_newest_first_files_equal_batch(spark, tmp_path, small_dir):
+    source, log, checkpoint = (str(tmp_path / d) for d in ("in", "log", "checkpoint"))
+    events = write_newest_first(spark, small_dir, source)
+    stream = hourly.file_stream(spark, source, SCHEMA, files_per_batch=1)
+    hourly.run_sums(stream, KEYS, "ts", "value", log, checkpoint)
+    assert len([d for d in os.listdir(log) if d.startswith("batch=")]) == 5
+    streamed = hourly.read_means(stream, log, KEYS, "value").withColumn("value", F.round("value", 6))
+    batch = batch_result(events)
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
 
 
-def test_upserts_replace_only_late_hours(spark, tmp_path):
+def test_newest_first_upserts_equal_batch(spark, tmp_path, small_dir):
+    source, fact, checkpoint = (str(tmp_path / d) for d in ("in", "fact", "checkpoint"))
+    events = write_newest_first(spark, small_dir, source)
+    stream = hourly.file_stream(spark, source, SCHEMA, files_per_batch=2)
+    hourly.run_upserts(stream, KEYS, "ts", "value", fact, checkpoint)
+    found = hourly.read_upserted(stream, KEYS, fact, "value").drop("day").withColumn("value", F.round("value", 6))
+    batch = batch_result(events)
+    assert found.exceptAll(batch).count() == 0 and batch.exceptAll(found).count() == 0
+
+
+def test_upserts_rewrite_only_touched_days(spark, tmp_path):
     source, fact, checkpoint = (str(tmp_path / d) for d in ("in", "fact", "checkpoint"))
 
     def run():
-        stream = means(spark, source, "7 days").withColumn("day", F.date_format("ts_utc", "yyyy-MM-dd"))
-        hourly.run_upserts(stream, ["region_clean", "ts_utc"], fact, checkpoint, "day")
-        return {(r["day"], r["ts_utc"].hour): r["value"] for r in spark.read.parquet(fact).withColumn("day", F.col("day").cast("string")).collect()}
+        stream = hourly.file_stream(spark, source, SCHEMA)
+        hourly.run_upserts(stream, KEYS, "ts", "value", fact, checkpoint)
+        return {(r["day"], r["ts_utc"].hour): r["value"] for r in hourly.read_upserted(stream, KEYS, fact, "value").collect()}
 
     add_file(spark, source, [("a", 10, 1), ("a", 70, 2), ("a", 1450, 3)])
     assert run() == {("2024-01-01", 0): 1.0, ("2024-01-01", 1): 2.0, ("2024-01-02", 0): 3.0}
-    untouched = os.listdir(os.path.join(fact, "day=2024-01-02"))
     add_file(spark, source, [("a", 20, 5)])
     assert run() == {("2024-01-01", 0): 3.0, ("2024-01-01", 1): 2.0, ("2024-01-02", 0): 3.0}
-    assert os.listdir(os.path.join(fact, "day=2024-01-02")) == untouched
+    assert [d for d in os.listdir(f"{fact}/days/version=1") if d.startswith("day=")] == ["day=2024-01-01"]
+
+
+def test_repeated_batch_replaces_itself(spark, tmp_path):
+    source, fact = str(tmp_path / "in"), str(tmp_path / "fact")
+    add_file(spark, source, [("a", 10, 1)])
+    stream = hourly.file_stream(spark, source, SCHEMA)
+    for checkpoint in ("one", "two"):  # the second run has lost the first one's checkpoint: batch 0 comes again
+        hourly.run_upserts(stream, KEYS, "ts", "value", fact, str(tmp_path / checkpoint))
+    assert hours(hourly.read_upserted(stream, KEYS, fact, "value")) == {("a", 0): (1.0, 1)}
+
+
+def test_windowed_means_drop_late_rows(spark, tmp_path):
+    source, checkpoint, out = (str(tmp_path / d) for d in ("in", "checkpoint", "out"))
+    add_file(spark, source, [("a", 10, 1), ("a", 20, 3)])
+    stream = hourly.windowed_means(hourly.file_stream(spark, source, SCHEMA), KEYS, "ts", "value", "2 hours")
+    query = stream.writeStream.outputMode("update").foreachBatch(lambda b, _: b.write.mode("append").parquet(out)).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert hours(spark.read.parquet(out)) == {("a", 0): (2.0, 2)}
