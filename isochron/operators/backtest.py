@@ -1,7 +1,7 @@
 """Sliding-window backtests: the splitter, horizons, scored forecast rows.
 
-A window holds exactly `train` + `test` rows of a series, at most `max_windows` windows start per series, so every
-(series, window) group is bounded by configuration, not by data.
+A window holds exactly `train` + `test` rows of a series, so every (series, window) group is bounded by configuration, not
+by data. All windows that fit are made unless `max_windows` asks for the first few.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isochron.fixed_values import LONG_HORIZONS, MAX_WINDOWS, SHORT_HORIZONS, STEP_DAYS, TRAIN_DAYS
+from isochron.fixed_values import LONG_HORIZONS, SHORT_HORIZONS, STEP_DAYS, TRAIN_DAYS
 
 KEY = "region_clean"
 GROUP = [KEY, "window"]
@@ -20,12 +20,12 @@ GROUP = [KEY, "window"]
 
 @dataclass(frozen=True)
 class Geometry:
-    """Rows in training, between window starts, horizons, and the largest number of windows."""
+    """Rows in training, between window starts, horizons, and the largest number of windows (None: all that fit)."""
 
     train: int = TRAIN_DAYS * 24
     step: int = STEP_DAYS * 24
     horizons: Sequence[int] = field(default_factory=lambda: [*SHORT_HORIZONS, *LONG_HORIZONS])
-    max_windows: int = MAX_WINDOWS
+    max_windows: int | None = None
     min_rows: int = 48
     min_coverage: float = 0.0
     expanding: bool = False
@@ -39,15 +39,17 @@ def split_windows(dense: DataFrame, geometry: Geometry) -> DataFrame:
     """Copy each row of a dense panel into the windows it belongs to.
 
     Adds window, role ('train' or 'test') and lead (1, 2, ... in the test part, 0 or less before it). Which windows
-    hold a row is arithmetic on its position, so there is no join and no shuffle. Windows reach over the first
-    train + test + step * (max_windows - 1) rows of a series; the filter drops the others before the copy.
+    hold a row is arithmetic on its position, so there is no join and no shuffle. With `max_windows` the rows behind the
+    last window are dropped before the copy.
     """
     g = geometry
     idx, length = F.col("idx"), g.train + g.test
-    final = F.least(F.floor((F.col("n_rows") - length) / g.step), F.lit(g.max_windows - 1))
+    final = F.floor((F.col("n_rows") - length) / g.step)
+    if g.max_windows is not None:
+        final = F.least(final, F.lit(g.max_windows - 1))
     oldest = F.greatest(F.ceil((idx - length + 1) / g.step), F.lit(0))
     newest = final if g.expanding else F.least(F.floor(idx / g.step), final)
-    inside = dense.where((F.col("n_rows") >= max(g.min_rows, length)) & (idx < length + g.step * (g.max_windows - 1)))
+    inside = dense.where((F.col("n_rows") >= max(g.min_rows, length)) & (idx < length + g.step * final))
     copied = inside.withColumn(
         "window", F.explode(F.when(oldest <= newest, F.sequence(oldest, newest)))
     ).withColumn("window", F.col("window").cast("int"))

@@ -71,8 +71,8 @@ def ensure_timestamp(df: DataFrame, dim_time: DataFrame | None = None, base: str
         zero = F.lit(0)
         return df.withColumn("ts_utc", F.make_timestamp("year", "month", "day", "hour", zero, zero))
     numbered = number_rows(df, order or df.columns, "_row")
-    start = F.to_timestamp(F.lit(base))
-    return numbered.withColumn("ts_utc", F.timestamp_add("HOUR", F.col("_row").cast("int"), start)).drop("_row")
+    micros = F.unix_micros(F.to_timestamp(F.lit(base))) + F.col("_row") * F.lit(3_600_000_000)
+    return numbered.withColumn("ts_utc", F.timestamp_micros(micros)).drop("_row")
 
 
 def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:

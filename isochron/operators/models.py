@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isochron.fixed_values import SEASON
+from isochron.functions.binding import let
 from isochron.operators.backtest import GROUP, KEY
 from isochron.session import shared_folder
 
@@ -112,8 +113,8 @@ def _holt_fold(values: Column, alpha: Column, beta: Column) -> Column:
 def smoothing(split: DataFrame, alphas: Sequence[float] | None = None, betas: Sequence[float] | None = None) -> DataFrame:
     """baseline_exponential_smoothing: additive trend, no season.
 
-    The smoothing weights minimise the squared one-step error over a grid, whose points are rows: every (group,
-    point) is folded on its own, and min_by keeps the best. Under ten training rows: the moving average.
+    The smoothing weights minimise the squared one-step error over a grid. All points of the grid are folded over a group's
+    values where they were gathered, so a series is shuffled once. Under ten training rows: the moving average.
     """
     grid = [round(0.1 * i, 1) for i in range(1, 10)]
     alphas, betas = alphas or grid, betas or [0.0, *grid]
@@ -122,13 +123,15 @@ def smoothing(split: DataFrame, alphas: Sequence[float] | None = None, betas: Se
     series = split.where("role = 'train'").groupBy(*GROUP).agg(
         F.transform(ordered, lambda pair: pair[Y]).alias("values")
     )
-    # The grid rows are spread again: groups are few and each fold is long.
-    partitions = int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    trials = series.withColumn("p", F.explode(points)).repartition(partitions, *GROUP, "p")
-    fitted = trials.withColumn("state", _holt_fold(F.col("values"), F.col("p.alpha"), F.col("p.beta")))
-    best = fitted.groupBy(*GROUP).agg(
-        F.min(F.struct("state.sse", "p.alpha", "p.beta", "state.level", "state.trend")).alias("s"),
-        F.max(F.when(F.size("values") < 10, moving_average(F.col("values")))).alias("short"),
+
+    def trial(point: Column) -> Column:
+        return let(_holt_fold(F.col("values"), point["alpha"], point["beta"]), lambda s: F.struct(
+            s["sse"].alias("sse"), point["alpha"].alias("alpha"), point["beta"].alias("beta"), s["level"].alias("level"), s["trend"].alias("trend")
+        ))
+
+    best = series.select(
+        *GROUP, F.array_min(F.transform(points, trial)).alias("s"),
+        F.when(F.size("values") < 10, moving_average(F.col("values"))).alias("short"),
     )
     rows = _test_rows(split).join(best, GROUP)
     forecast = F.coalesce("short", F.col("s.level") + F.col("lead") * F.col("s.trend"))
@@ -216,11 +219,15 @@ def linear(split: DataFrame, features: Sequence[str], target: str = Y) -> DataFr
 def knn(split: DataFrame, features: Sequence[str], k: int = 10, target: str = Y) -> DataFrame:
     """Mean of the k training rows nearest in unscaled Euclidean distance (ties to the earlier row)."""
     def predict(x, y, new):
-        out = np.empty(len(new))
-        for i, row in enumerate(new):
-            distance = ((x - row) ** 2).sum(axis=1)
-            out[i] = y[np.argsort(distance, kind="stable")[:k]].mean()
-        return out
+        n = min(k, len(x))
+        means = []
+        for block in np.array_split(new, max(1, len(new) // 64)):
+            distance = ((x[None] - block[:, None]) ** 2).sum(axis=2)
+            bound = np.partition(distance, n - 1, axis=1)[:, n - 1:n]
+            nearer, tied = distance < bound, distance == bound
+            room = n - nearer.sum(axis=1, keepdims=True)
+            means.append(((nearer | (tied & (tied.cumsum(axis=1) <= room))) @ y) / n)
+        return np.concatenate(means)
 
     return _named(_per_group(split, features, target, predict), "knn")
 
@@ -347,37 +354,39 @@ def hybrid(split: DataFrame, fits: DataFrame, residual_model) -> DataFrame:
 
 
 def feature_matrix(split: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Rows with a Spark ML feature vector: the series as an index, then the features, missing values as 0."""
+    """Rows with a Spark ML feature vector: the level of the series (its mean over the window's training part), then the features,
+    missing values as 0."""
     from pyspark.ml.feature import VectorAssembler
 
-    series = F.pmod(F.xxhash64(KEY), F.lit(1 << 20)).cast("double")
+    level = split.where("role = 'train'").groupBy(*GROUP).agg(F.coalesce(F.avg(Y), F.lit(0.0)).alias("series_level"))
     filled = split.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})
-    assembler = VectorAssembler(inputCols=["series_code", *features], outputCol="features", handleInvalid="error")
-    return assembler.transform(filled.withColumn("series_code", series))
+    assembler = VectorAssembler(inputCols=["series_level", *features], outputCol="features", handleInvalid="error")
+    return assembler.transform(filled.join(level, GROUP))
 
 
-# Training rows per partition of a tree fit: each level of a tree is a job, so small data is kept in few partitions.
-ROWS_PER_TASK = 200_000
+# Partitions of the training rows of a tree fit, and fits at once. Bagging draws per partition, so the number must not follow the
+# size of the data or the session's settings; a cluster that fits on more rows passes a larger one.
+TREE_PARTITIONS, FITS_AT_ONCE = 8, 4
 
 
-def tree_model(split: DataFrame, features: Sequence[str], estimator, name: str) -> DataFrame:
+def tree_model(split: DataFrame, features: Sequence[str], estimator, name: str, partitions: int = TREE_PARTITIONS) -> DataFrame:
     """Fit a Spark ML regressor per window on all series together and predict the window's test rows.
 
-    The list of windows is as short as the geometry says, so their fits run side by side, as in cross validation;
-    each fit is distributed over the rows.
+    Only the list of windows comes to the driver; a few fits run at a time, each distributed over the rows. Rows lie in the
+    same partitions in the same order on every run, so forecasts do not depend on how the rows arrived.
     """
     matrix = feature_matrix(split, features).select(
         *GROUP, "lead", "role", "ts_utc", F.col(Y).alias("actual_mw"), F.col(Y).alias("label"), "features"
     )
-    sizes = split.where("role = 'train'").groupBy("window").agg(F.count("*").alias("rows")).orderBy("window").collect()
+    windows = [r["window"] for r in split.where("role = 'train'").select("window").distinct().orderBy("window").collect()]
 
-    def run(size) -> DataFrame:
-        rows = matrix.where(F.col("window") == size["window"])
-        train = rows.where("role = 'train'").repartition(1 + size["rows"] // ROWS_PER_TASK)
+    def run(window: int) -> DataFrame:
+        rows = matrix.where(F.col("window") == window)
+        train = rows.where("role = 'train'").repartition(partitions, KEY, "lead").sortWithinPartitions(KEY, "lead")
         return estimator.fit(train).transform(rows.where("role = 'test'"))
 
-    with ThreadPool(max(len(sizes), 1)) as pool:
-        fitted = pool.map(inheritable_thread_target(split.sparkSession)(run), sizes)
+    with ThreadPool(FITS_AT_ONCE) as pool:
+        fitted = pool.map(inheritable_thread_target(split.sparkSession)(run), windows)
     union = reduce(DataFrame.unionByName, fitted)
     out = union.select(*GROUP, "lead", "ts_utc", "actual_mw", F.col("prediction").alias("forecast_mw"))
     return _named(out, name)

@@ -57,18 +57,14 @@ def densify(panel: DataFrame, keys: Sequence[str], ts: str = "ts_utc", grain: st
     return spine.join(seen, [*keys, ts], "left").withColumn("observed", F.coalesce("observed", F.lit(False)))
 
 
-def _slice_of(position: Column) -> Column:
-    return F.floor(position / SLICE)
-
-
 def with_history(dense: DataFrame, keys: Sequence[str], lookback: int, columns: dict[str, str]) -> DataFrame:
-    """Add window columns that look back at most `lookback` (<= SLICE) rows of a dense panel, slice by slice.
+    """Add window columns that look back at most `lookback` rows of a dense panel, slice by slice.
 
-    A column is an SQL expression in which OVER names the window, as made by lag_columns and rolling_columns.
+    A column is an SQL expression in which OVER names the window, as made by lag_columns and rolling_columns. A slice is at
+    least as long as the look-back, so a row is needed by its own slice and at most by the next.
     """
-    if lookback > SLICE:
-        raise ValueError(f"lookback {lookback} exceeds the slice length {SLICE}")
-    own, reached = _slice_of(F.col("idx")), _slice_of(F.col("idx") + lookback)
+    length = max(SLICE, lookback)
+    own, reached = F.floor(F.col("idx") / length), F.floor((F.col("idx") + lookback) / length)
     sliced = dense.withColumn("_own", own).withColumn("_slice", F.explode(F.array_distinct(F.array(own, reached))))
     window = f"OVER (PARTITION BY {', '.join(map(quoted, keys))}, _slice ORDER BY idx"
     added = sliced.withColumns({name: F.expr(sql.replace("OVER (", window + " ")) for name, sql in columns.items()})
@@ -123,7 +119,7 @@ def fill_gaps(dense: DataFrame, keys: Sequence[str], measures: Sequence[str]) ->
     slices through one summary row per slice.
     """
     by = ", ".join(map(quoted, keys))
-    finite = dense.withColumns({m: _finite(m) for m in measures}).withColumn("_slice", _slice_of(F.col("idx")))
+    finite = dense.withColumns({m: _finite(m) for m in measures}).withColumn("_slice", F.floor(F.col("idx") / SLICE))
     ends = finite.groupBy(*keys, "_slice").agg(*[
         F.expr(f"{end}({quoted(m)}, CASE WHEN {quoted(m)} IS NOT NULL THEN idx END) AS `_{end}_{m}`")
         for m in measures for end in ("max_by", "min_by")

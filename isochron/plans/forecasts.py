@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isochron.fixed_values import FEATURE_LAGS, FEATURE_SPANS
+from isochron.fixed_values import FEATURE_LAGS, FEATURE_SPANS, MAX_WINDOWS
 from isochron.functions.regions import LABELS
 from isochron.operators import backtest, models, panel, reports, star
 from isochron.operators.backtest import Geometry
@@ -66,11 +66,12 @@ filled AS (
 
 
 def _sql_split(g: Geometry) -> str:
+    last = g.max_windows if g.max_windows is not None else f"(SELECT max(n_rows) // {g.step} + 1 FROM filled)"
     return f"""
 split AS (
   SELECT f.*, w.range::INT AS window, (idx - w.range * {g.step} - {g.train} + 1)::INT AS lead,
          CASE WHEN idx - w.range * {g.step} >= {g.train} THEN 'test' ELSE 'train' END AS role
-  FROM filled f JOIN range({g.max_windows}) w
+  FROM filled f JOIN (SELECT unnest(range({last})) AS range) w
     ON idx >= w.range * {g.step} AND idx < w.range * {g.step} + {g.train + g.test}
     AND w.range * {g.step} + {g.train + g.test} <= n_rows),
 train AS (SELECT *, consumption_mw AS y FROM split WHERE role = 'train'),
@@ -187,21 +188,49 @@ SQL_DAILY = inputs.sql_dense("""
 """).replace("INTERVAL 1 HOUR", "INTERVAL 1 DAY")
 
 
-@query(f"""WITH {SQL_DAILY}, {SQL_FILLED}, {_sql_split(Geometry())}
+def _sql_long_panel(geometry: Geometry) -> str:
+    return f"""WITH {SQL_DAILY}, {SQL_FILLED}, {_sql_split(geometry)}
 SELECT *, 'baseline_naive' AS model FROM ({SQL_NAIVE}) UNION ALL SELECT *, 'baseline_seasonal_naive' FROM ({SQL_SEASONAL_NAIVE})
 UNION ALL SELECT *, 'baseline_moving_average' FROM ({SQL_MOVING_AVERAGE}) UNION ALL SELECT *, 'SARIMAX' FROM ({SQL_SDIFF})
-""", rounded=_SHOWN)
-def fc_long_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """The default geometry (1440 training rows, five windows) on the daily order totals per status."""
+"""
+
+
+def _daily_dense(spark: SparkSession, sf: str) -> DataFrame:
     daily = inputs.table(spark, sf, "orders").groupBy(
         F.col("o_orderstatus").alias("region_clean"), F.col("o_orderdate").cast("timestamp").alias("ts_utc")
     ).agg(F.sum("o_totalprice").alias("consumption_mw"))
-    dense = panel.densify(stored(daily, "daily-panel"), KEY, grain="day")
-    split = backtest.split_windows(stored(panel.fill_gaps(dense, KEY, ["consumption_mw"]), "filled"), Geometry())
+    return panel.densify(stored(daily, "daily-panel"), KEY, grain="day")
+
+
+def _long_panel(spark: SparkSession, sf: str, geometry: Geometry) -> DataFrame:
+    filled = stored(panel.fill_gaps(_daily_dense(spark, sf), KEY, ["consumption_mw"]), "filled")
+    split = backtest.split_windows(filled, geometry)
     forecasts = models.last_value_models(split).unionByName(models.seasonal_difference_model(split))
     return forecasts.drop("sarimax_baseline_used")
 
 
+@query(_sql_long_panel(Geometry()), rounded=_SHOWN)
+def fc_long_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """The default geometry (1440 training rows, all windows that fit) on the daily order totals per status."""
+    return _long_panel(spark, sf, Geometry())
+
+
+@query(_sql_long_panel(Geometry(max_windows=MAX_WINDOWS)), rounded=_SHOWN)
+def fc_long_panel_capped(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the first five windows of each series only, as asked for by an argument."""
+    return _long_panel(spark, sf, Geometry(max_windows=MAX_WINDOWS))
+
+
+@query(f"""WITH {SQL_DAILY}
+SELECT region_clean, ts_utc::TIMESTAMP AS ts_utc, idx, lag(consumption_mw, 2190) OVER w AS lag2190, avg(consumption_mw) OVER (w ROWS BETWEEN 364 PRECEDING AND CURRENT ROW) AS mean365
+FROM dense WINDOW w AS (PARTITION BY region_clean ORDER BY ts_utc)""", rounded=["lag2190", "mean365"], digits=3)
+def long_lag_features(spark: SparkSession, sf: str) -> DataFrame:
+    """A lag of six years of days and a trailing year on the daily panel."""
+    columns = panel.lag_columns("consumption_mw", [2190], "lag") | panel.rolling_columns("consumption_mw", [365], "mean")
+    found = panel.with_history(_daily_dense(spark, sf), KEY, 2190, columns)
+    return found.select("region_clean", "ts_utc", "idx", "lag2190", "mean365")
+
+
 @query(f"WITH {SQL_TYPES} {SQL_SDIFF}", rounded=_SHOWN)
 def fc_sdiff(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(models.seasonal_difference_model(_filled_split(spark, sf)))

@@ -168,13 +168,14 @@ readings AS (
 
 
 def holiday_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw holidays: distinct (date, priority) of large orders, typed by priority; stored, as calendars read them often."""
-    big = table(spark, sf_dir, "orders").where(F.col("o_totalprice") > 450000)
+    """Raw calendar rows: distinct (date, priority, holiday or not) of all orders, typed by priority; holidays are those of
+    finished orders. Stored, as calendars read them often."""
+    orders = table(spark, sf_dir, "orders")
     types = ["National", "Regional", "Observance", "Season", "Other"]
     rank = F.substring("o_orderpriority", 1, 1).cast("int")
-    rows = big.select(
+    rows = orders.select(
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit("France").alias("country"),
-        F.lit(True).alias("is_holiday"), F.concat(F.lit("Holiday "), F.col("o_orderpriority")).alias("holiday_name"),
+        (F.col("o_orderstatus") == "F").alias("is_holiday"), F.concat(F.lit("Holiday "), F.col("o_orderpriority")).alias("holiday_name"),
         pick(types, rank - 1).alias("holiday_type"),
         F.when(rank == 2, "Regional").otherwise("National").alias("location"),
     )
@@ -182,9 +183,9 @@ def holiday_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def january_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Holidays in the month of the events: the same calendar rows moved to January 2024 by their day of month."""
+    """Holidays in the month of the events: all calendar rows moved to January 2024 by their day of month."""
     rows = holiday_rows(spark, sf_dir)
-    return rows.where(F.substring("date", 6, 2) == "01").withColumn(
+    return rows.withColumn(
         "date", F.concat(F.lit("2024-01-"), F.substring("date", 9, 2))
     ).distinct()
 
@@ -194,11 +195,11 @@ holiday_rows AS (
   SELECT DISTINCT o_orderdate::DATE AS date_paris, 'Holiday ' || o_orderpriority AS holiday_name,
          ['National', 'Regional', 'Observance', 'Season', 'Other'][substr(o_orderpriority, 1, 1)::INT] AS holiday_type,
          CASE WHEN substr(o_orderpriority, 1, 1) = '2' THEN 'Regional' ELSE 'National' END AS location
-  FROM orders WHERE o_totalprice > 450000)"""
+  FROM orders WHERE o_orderstatus = 'F')"""
 SQL_JANUARY_HOLIDAYS = SQL_HOLIDAY_ROWS.replace("holiday_rows AS", "all_holiday_rows AS") + """,
 holiday_rows AS (
   SELECT DISTINCT make_date(2024, 1, day(date_paris)) AS date_paris, holiday_name, holiday_type, location
-  FROM all_holiday_rows WHERE month(date_paris) = 1)"""
+  FROM all_holiday_rows)"""
 
 # Easter by another rule than the engine's (epact and weekday of the full moon).
 SQL_EASTER = """

@@ -35,12 +35,19 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def own_folder(master: str) -> str:
+    """A new folder of this machine, which only a master that runs all tasks on it may use."""
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that the driver and all executors share (master {master})")
+    return tempfile.mkdtemp(prefix="isochron-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one is set only where the session names none."""
+    """The folder named by spark.checkpoint.dir. Without the setting, a local master gets a folder; a cluster is refused."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not context.getCheckpointDir():
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="isochron-"))
+        context.setCheckpointDir(named or own_folder(context.master))
     return named or context.getCheckpointDir()
 
 

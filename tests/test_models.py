@@ -152,3 +152,26 @@ def test_scores_and_complete_series(spark):
     assert complete.where("data_type = 'actual'").count() == 96
     assert long.count() == 24 + 30 and short.count() == 1 + 6
     assert {r[0] for r in long.select("model").distinct().collect()} == {"baseline_seasonal_naive"}
+
+
+def test_tree_forecasts_do_not_depend_on_shuffle_partitions(spark):
+    from pyspark.sql import Row
+
+    rows = [
+        Row(region_clean=k, window=0, lead=h - 96, role="train" if h < 96 else "test", ts_utc=None, consumption_mw=float((h * 7 + len(k) * 3) % 24), hour=h % 24)
+        for k in ("a", "bb", "ccc") for h in range(120)
+    ]
+    schema = "region_clean string, window int, lead int, role string, ts_utc timestamp, consumption_mw double, hour int"
+    split = spark.createDataFrame(rows, schema)
+
+    def forecasts(partitions):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        try:
+            found = models.forest(split.repartition(partitions), ["hour"], trees=5, depth=4).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        return {(r["region_clean"], r["lead"]): r["forecast_mw"] for r in found}
+
+    first = forecasts(4)
+    assert len(first) == 72 and first == forecasts(4) == forecasts(9)

@@ -65,9 +65,11 @@ def test_history_equals_pandas(spark):
         np.testing.assert_allclose(part["mean24"].astype(float), frame["y"].rolling(24, min_periods=1).mean(), atol=1e-9)
 
 
-def test_history_rejects_long_lookback(spark):
-    with pytest.raises(ValueError):
-        panel.with_history(panel.densify(make_panel(spark, {"a": {0: 1.0}}), KEY), KEY, 27, {})
+def test_history_beyond_the_slice(spark, monkeypatch):
+    monkeypatch.setattr(panel, "SLICE", 16)
+    dense = panel.densify(make_panel(spark, {"a": {h: float(h) for h in range(100)}}), KEY)
+    found = panel.with_history(dense, KEY, 40, panel.lag_columns("consumption_mw", [40], "lag")).toPandas().sort_values("idx")
+    np.testing.assert_allclose(found["lag40"].astype(float), [np.nan] * 40 + list(range(60)))
 
 
 @pytest.mark.parametrize("exclude", [False, True])

@@ -150,3 +150,14 @@ def test_number_rows(spark):
     rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
     found = merge.number_rows(rows, ["v"], "n").collect()
     assert len(found) == 1000 and all(r["v"] == r["n"] for r in found)
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    import pytest
+
+    from isochron.session import own_folder
+
+    assert own_folder("local[4]") and own_folder("local")
+    for master in ("yarn", "spark://host:7077", "k8s://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+            own_folder(master)
