@@ -8,8 +8,11 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Code point ranges whose compatibility decomposition is applied.
-_RANGES = [(0x00A0, 0x10FF), (0x1D00, 0x24FF), (0xFB00, 0xFB06), (0xFE20, 0xFE2F), (0xFF01, 0xFF5E)]
+# Every code point that decomposes lies below the end; the syllables of Hangul are left composed, as their parts are letters
+# of the same word and not accents.
+_DECOMPOSING_BELOW = 0x2FA20
+_HANGUL = range(0xAC00, 0xD7A4)
+_SURROGATES = range(0xD800, 0xE000)
 # Punctuation that separates the words of a name.
 SEPARATORS = "'’-_.,()/\\"
 # All characters that count as white space.
@@ -20,37 +23,38 @@ SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 def _accent_tables() -> tuple[dict[str, str], str, str]:
     """(character -> one-character base, removed marks, lines of a character followed by its longer base)."""
     single, marks, longer = {}, [], []
-    for first, last in _RANGES:
-        for char in map(chr, range(first, last + 1)):
-            base = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-            if not base:
-                marks.append(char)
-            elif len(base) > 1:
-                longer.append(char + base)
-            elif base != char:
-                single[char] = base
+    for code in range(0xA0, _DECOMPOSING_BELOW):
+        if code in _HANGUL or code in _SURROGATES:
+            continue
+        char = chr(code)
+        base = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        if not base:
+            marks.append(char)
+        elif len(base) > 1:
+            longer.append(char + base)
+        elif base != char:
+            single[char] = base
     return single, "".join(marks), "\n".join(longer)
 
 
 def strip_accents(text: Column, spaces: str = "") -> Column:
     """Base letters only; characters of `spaces` become blanks in the same pass.
 
-    One pass for almost all text: the few characters that expand are replaced only where present.
+    ASCII text, which is most text, needs only the blanks. In other text one pass replaces single characters; the few that expand
+    are replaced only where present.
     """
     single, marks, longer = _accent_tables()
     table = single | dict.fromkeys(spaces, " ")
-    items = longer.split("\n")
-    expanding = "".join(item[0] for item in items)
-    low = "".join(c for c in expanding if c < "\u0100")
-    high = min(c for c in expanding if c >= "\u0100")
-    # Two tests: a coarse range that most text fails at once, then the exact characters.
-    present = text.rlike(f"[{low}{high}-\uffff]") & (F.translate(text, expanding, "") != text)
+    expanding = "".join(item[0] for item in longer.split("\n"))
     expanded = F.aggregate(
         F.split(F.lit(longer), "\n"), text,
         lambda done, item: F.replace(done, F.substring(item, 1, 1), F.substring(item, 2, 20)),
     )
-    source = F.when(present, expanded).otherwise(text)
-    return F.translate(source, "".join(table) + marks, "".join(table.values()))
+    source = F.when(F.translate(text, expanding, "") != text, expanded).otherwise(text)
+    full = F.translate(source, "".join(table) + marks, "".join(table.values()))
+    blanks = "".join(c for c in spaces if c.isascii())
+    short = F.translate(text, blanks, " " * len(blanks)) if blanks else text
+    return F.when(text.rlike(r"[^\x00-\x7F]"), full).otherwise(short)
 
 
 def squeeze(text: Column) -> Column:

@@ -108,3 +108,15 @@ def test_coordinates(spark):
     lat = column(spark, values, "string", lambda v: numeric.coordinates(v)[0])
     lon = column(spark, values, "string", lambda v: numeric.coordinates(v)[1])
     assert lat == [1.0] * 5 + [None] * 2 and lon == [2.0] * 5 + [None] * 2
+
+
+def test_accents_of_every_block(spark):
+    import unicodedata
+
+    samples = [chr(c) for c in (
+        0xE9, 0x1EA5, 0x212B, 0x2460, 0x3300, 0x3392, 0xF900, 0xFB01, 0xFB1D, 0xFDFA, 0xFE8D, 0xFF21, 0xFF76, 0x1D400, 0x1D7D8, 0x1EE00, 0x1F130, 0x2F800
+    )]
+    rows = [(f"a{c}b",) for c in samples] + [("plain",), (None,), ("각",)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t string").select(text.strip_accents(F.col("t"))).collect()]
+    want = ["a" + "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)) + "b" for c in samples]
+    assert got == [*want, "plain", None, "각"]
