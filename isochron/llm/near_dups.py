@@ -4,10 +4,11 @@ Signatures: a first permutation sends every shingle to a place on a circle of 2*
 gives all coordinates, each the least value over the shingles. Bands of coordinates are buckets.
 
 Texts with the same words are one class, found by a digest and represented by its smallest doc_id; only representatives
-are signed into buckets. Within a bucket not all pairs are tried: every member is compared with the bucket's hub, and what
-is linked becomes one component. Buckets that still hold several components get another hub; when few cross pairs are
-left, or after a few rounds, all pairs of different components within a bucket are compared. So a bucket of thousands of
-near copies costs about one comparison a member, and no pair of a bucket is lost unless its texts are connected anyway.
+are signed into buckets. Within a bucket no list of pairs is made: every member is compared with the bucket's hub, and what
+is linked becomes one component. A bucket of more than two members that still holds several components is then searched
+where its sets lie: a member outside the bucket's largest component is held against all others at once, and only links
+between different components come out. Large buckets are searched block against block. So no link of a bucket is lost unless
+its texts are connected anyway, and what leaves a bucket are fewer links than members.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from isochron.session import stored
 WIDTH = 5
 THRESHOLD = (4, 5)
 BANDS, ROWS = 40, 5
-HUB_ROUNDS = 6
+HUB_ROUNDS = 2
 HUB_SHARE = 256
+BLOCK_MEMBERS = 512
 BROADCAST_ROWS = 2_000_000
 BLANK = re.compile(rb"[\x20\x09-\x0d]+")
 
@@ -163,6 +165,91 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: tuple[in
     return joined.mapInArrow(compare, "hub bigint, doc_id bigint").distinct()
 
 
+# -- Searching a bucket --------------------------------------------------------------------------------------------------
+
+
+def missing_links(
+    ids: Sequence[int], labels: Sequence[int], blocks: Sequence[int], sets: Sequence[np.ndarray], threshold: tuple[int, int]
+) -> list[tuple[int, int]]:
+    """Links (smaller doc_id, larger doc_id) between members with different labels whose sets are alike, as far as they connect
+    labels that are not connected yet. Where there are two blocks, only pairs across them are tried. Sets are not empty.
+    """
+    above, below = threshold
+    sizes = np.array([len(x) for x in sets])
+    _, words = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    names, label = np.unique(np.array(labels), return_inverse=True)
+    block = np.array(blocks)
+    across = len(set(blocks)) > 1
+    parent = list(range(len(names)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    found, largest = [], np.bincount(label).argmax()
+    for i in np.flatnonzero(label != largest).tolist():
+        here = np.zeros(words.max() + 1, dtype=np.int32)
+        here[words[starts[i]:starts[i] + sizes[i]]] = 1
+        both = np.add.reduceat(here[words], starts)
+        linked = (below * both >= above * (sizes + sizes[i] - both)) & (label != label[i])
+        if across:
+            linked &= block != block[i]
+        for j in np.flatnonzero(linked).tolist():
+            a, b = root(label[i]), root(label[j])
+            if a != b:
+                parent[a] = b
+                found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+    return found
+
+
+def search_buckets(live: DataFrame, texts: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
+    """Links (hub, doc_id) missing within the buckets of `live` (band, doc_id, component), found on full sets of 64-bit hashes.
+
+    A bucket is dealt into blocks of about BLOCK_MEMBERS, and every two blocks of a bucket are one group: memory is bounded
+    whatever the bucket's size.
+    """
+    def hash_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(words_of(t), width).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "hashes"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+
+        def found() -> list[tuple[int, int]]:
+            ids, labels, blocks, sets = zip(*rows, strict=True)
+            return missing_links(ids, labels, blocks, [np.frombuffer(x, np.uint64) for x in sets], threshold)
+
+        for batch in batches:
+            links = []
+            for band, low, high, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (band, low, high) != key:
+                    links += found() if rows else []
+                    key, rows = (band, low, high), []
+                rows.append(row)
+            yield as_links(links)
+        yield as_links(found() if rows else [])
+
+    def as_links(links: list[tuple[int, int]]) -> pa.RecordBatch:
+        columns = list(zip(*links, strict=True)) or [[], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["hub", "doc_id"])
+
+    sets = texts.join(small(ids := live.select("doc_id").distinct(), ids.count()), "doc_id", "left_semi").select("doc_id", "text")
+    sets = stored(sets.mapInArrow(hash_sets, "doc_id bigint, hashes binary"), "bucket-sets")
+    sizes = live.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("_blocks"))
+    dealt = live.join(sizes, "band").withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
+    spread = dealt.select("band", "doc_id", "component", "_block", others).select(
+        "band", F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high"), "doc_id", "component", "_block"
+    )
+    group = ["band", "_low", "_high"]
+    rows = spread.join(sets, "doc_id").select(*group, "doc_id", "component", "_block", "hashes")
+    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(search, "hub bigint, doc_id bigint").distinct()
+
+
 # -- Components ----------------------------------------------------------------------------------------------------------
 
 
@@ -191,10 +278,10 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
 # -- The operator --------------------------------------------------------------------------------------------------------
 
 
-def link_representatives(
+def linked_components(
     signed: DataFrame, documents: DataFrame, width: int, threshold: tuple[int, int], hub_rounds: int = HUB_ROUNDS
 ) -> DataFrame:
-    """Verified links (hub, doc_id) that connect all representatives which some bucket holds together and whose sets are alike."""
+    """(doc_id, component) of all representatives with a link: two in one bucket whose sets are alike are in one component."""
     buckets = signed.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
     shared = buckets.groupBy("band").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).filter("_low < _high")
     members = stored(buckets.join(shared.select("band"), "band", "left_semi"), "bucket-members")
@@ -202,54 +289,33 @@ def link_representatives(
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = stored(texts.join(small(ids, ids.count()), "doc_id", "left_semi"), "bucket-texts")
     above, below = threshold
-    near = (below * F.least("n_shingles", "_n") >= above * F.greatest("n_shingles", "_n"))
-    links = tested = None
-    labelled = members.withColumn("component", F.col("doc_id"))
+    near = below * F.least("n_shingles", "_n") >= above * F.greatest("n_shingles", "_n")
+    links, labelled = None, members.withColumn("component", F.col("doc_id"))
     for turn in range(hub_rounds + 1):
-        live = labelled.join(
-            labelled.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high").select("band"),
-            "band", "left_semi",
-        )
-        if turn:
-            live = stored(live, "bucket-live")
-            rows, crossing = live.count(), cross_pairs(live)
-            if not crossing:
-                break
-            last = turn == hub_rounds or crossing <= 2 * rows
-        else:
-            last = False
-        if last:
-            pairs = live.join(
-                live.select("band", F.col("doc_id").alias("hub"), F.col("n_shingles").alias("_n"), F.col("component").alias("_c")), "band"
-            ).filter((F.col("hub") < F.col("doc_id")) & (F.col("_c") != F.col("component")) & near)
-        else:
+        if turn < hub_rounds:
             order = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", "band", F.lit(turn))
-            hubs = live.groupBy("band").agg(F.min(F.struct(order.alias("o"), "doc_id", "n_shingles", "component")).alias("_h")).select(
+            hubs = labelled.groupBy("band").agg(F.min(F.struct(order.alias("o"), "doc_id", "n_shingles", "component")).alias("_h")).select(
                 "band", F.col("_h.doc_id").alias("hub"), F.col("_h.n_shingles").alias("_n"), F.col("_h.component").alias("_c")
             )
-            pairs = live.join(hubs, "band").filter((F.col("_c") != F.col("component")) & near)
-        pairs = pairs.select(F.least("hub", "doc_id").alias("hub"), F.greatest("hub", "doc_id").alias("doc_id")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["hub", "doc_id"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        fresh = stored(verified(pairs, texts, width, threshold), "links")
-        tested = pairs if tested is None else tested.union(pairs)
+            pairs = labelled.join(hubs, "band").filter((F.col("_c") != F.col("component")) & near)
+            pairs = pairs.select(F.least("hub", "doc_id").alias("hub"), F.greatest("hub", "doc_id").alias("doc_id")).distinct()
+            fresh = verified(stored(pairs, "pairs"), texts, width, threshold)
+        else:
+            fresh = search_buckets(labelled, texts, width, threshold)
+        fresh = stored(fresh, "links")
         links = fresh if links is None else links.union(fresh)
-        if last:
-            break
-        labels = components(links)
-        labelled = stored(
-            members.join(labels, "doc_id", "left").select("band", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")),
-            "bucket-labels",
-        )
-    return links
-
-
-def cross_pairs(live: DataFrame) -> int:
-    """How many pairs of members of one bucket lie in different components."""
-    sizes = live.groupBy("band", "component").count()
-    per_band = sizes.groupBy("band").agg((F.sum("count") * F.sum("count") - F.sum(F.col("count") * F.col("count"))).alias("p"))
-    return (per_band.agg(F.sum("p")).first()[0] or 0) // 2
+        if turn < hub_rounds:
+            # Buckets of two are settled by their hub; so are those that are one component by now.
+            labels = components(links)
+            placed = members.join(labels, "doc_id", "left").select("band", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
+            placed = stored(placed, "bucket-labels")
+            open_bands = placed.groupBy("band").agg(
+                F.count(F.lit(1)).alias("_m"), F.min("component").alias("_low"), F.max("component").alias("_high")
+            ).filter("_m > 2 AND _low < _high")
+            labelled = stored(placed.join(open_bands.select("band"), "band", "left_semi"), "bucket-live")
+            if labelled.isEmpty():
+                return labels
+    return components(links)
 
 
 def near_duplicates(
@@ -267,8 +333,8 @@ def near_duplicates(
     named = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
     classes = stored(named.groupBy("digest").agg(F.min("doc_id").alias("_first")), "classes")
     firsts = named.join(classes, (named["digest"] == classes["digest"]) & (F.col("doc_id") == F.col("_first")), "left_semi")
-    links = link_representatives(firsts.select("doc_id", "n_shingles", "bands"), documents, width, threshold)
-    labels = classes.join(components(links).withColumnRenamed("doc_id", "_first"), "_first", "left").select(
+    found = linked_components(firsts.select("doc_id", "n_shingles", "bands"), documents, width, threshold)
+    labels = classes.join(found.withColumnRenamed("doc_id", "_first"), "_first", "left").select(
         "digest", F.coalesce("component", "_first").alias("_component")
     )
     linked = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("_component")).otherwise(F.col("doc_id"))
