@@ -56,12 +56,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back.
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write a table to the shared folder, with options of the Parquet writer, and read it back.
 
     Used where a small result of a large scan feeds several branches: the scan runs once, the branches read
     columns of the result with its true size known, and a lost executor costs only its own tasks.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
