@@ -5,13 +5,16 @@ worker keeps the ids of words it has met and joins them per text. A text is cut
   * vocabularies whose pre-tokens may begin with a space: before a space or line feed that follows and precedes a
     non-space character; a text with any other white space is encoded whole;
   * vocabularies that drop white space: at spaces and line feeds.
+A word of letters only is one pre-token, so it goes to the tokenizer's model directly; all else goes through the whole tokenizer.
 The result is that of encoding the whole text, which tests verify.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
+from array import array
 from collections.abc import Callable, Sequence
 from functools import lru_cache
 
@@ -19,8 +22,22 @@ import numpy as np
 
 # White space other than single spaces and line feeds inside the text.
 UNEVEN = re.compile(r"[^\S \n]|\s\s|\A\s|\s\Z")
-KEPT_WORDS = 400_000
+KEPT_WORDS = 600_000
 KEPT_LENGTH = 64
+ENCODED_AT_ONCE = 5_000
+MARKS = ".,;:!?#*$%&|"
+# Letters below this one are composed, and their lower case is one letter.
+PLAIN_BELOW = "\u0130"
+
+
+def byte_names() -> dict[int, str]:
+    """How byte-level vocabularies write the bytes: printable ones as they are, the others as the characters from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in printable)
+    return {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+BYTE_NAMES = byte_names()
 
 
 def as_bytes(ids: Sequence[int]) -> bytes:
@@ -45,26 +62,47 @@ class WordEncoder:
     def __init__(self, encode: Callable[[list[str]], list[bytes]], cut: Callable[[str], list[str] | None], kept: int = KEPT_WORDS):
         self.encode, self.cut, self.kept, self.known = encode, cut, kept, {}
 
-    def __call__(self, texts: Sequence[str | None]) -> list[bytes]:
-        known, cuts, new, whole = self.known, [], {}, []
-        for text in texts:
-            pieces = self.cut(text or "")
-            cuts.append(pieces)
-            if pieces is None:
-                whole.append(text)
-            else:
-                new.update((p, None) for p in pieces if p not in known)
-        pieces = list(new)
-        fresh = dict(zip(pieces, self.encode(pieces), strict=True)) if pieces else {}
-        rest = iter(self.encode(whole) if whole else ())
-        if len(known) + len(fresh) > self.kept:
-            look = {**known, **fresh}
+    def learn(self, pieces: set[str]) -> None:
+        """Know these pieces. Marks after a letter and a line feed before a word are parts of their own, as no token holds both,
+        so words that differ only in them are encoded once."""
+        known = self.known
+        if len(known) + len(pieces) > self.kept:
             known.clear()
-        else:
-            known.update((p, v) for p, v in fresh.items() if len(p) <= KEPT_LENGTH)
-            look = known if len(fresh) == 0 or all(len(p) <= KEPT_LENGTH for p in fresh) else {**known, **fresh}
-        at = look.__getitem__
-        return [next(rest) if c is None else b"".join(map(at, c)) for c in cuts]
+        new, joined = set(), []
+        for piece in pieces:
+            head = piece.rstrip(MARKS)
+            if not head[-1:].isalpha():
+                head = piece
+            parts = (piece[:1], head[1:], piece[len(head):]) if head[:1] == "\n" else (head, piece[len(head):])
+            if parts[0] == piece:
+                new.add(piece)
+            else:
+                joined.append((piece, parts))
+        for _, parts in joined:
+            new.update(p for p in parts if p and p not in known)
+        todo = list(new)
+        for at in range(0, len(todo), ENCODED_AT_ONCE):
+            part = todo[at:at + ENCODED_AT_ONCE]
+            known.update(zip(part, self.encode(part), strict=True))
+        known[""] = b""
+        for piece, parts in joined:
+            known[piece] = b"".join([known[p] for p in parts])
+
+    def __call__(self, texts: Sequence[str | None]) -> list[bytes]:
+        cuts = [self.cut(text or "") for text in texts]
+        whole = [text for text, pieces in zip(texts, cuts, strict=True) if pieces is None]
+        pieces = set(itertools.chain.from_iterable(c for c in cuts if c is not None))
+        missing = pieces.difference(self.known)
+        if len(self.known) + len(missing) > self.kept:
+            missing = pieces
+        if missing:
+            self.learn(missing)
+        rest, at = iter(self.encode(whole) if whole else ()), self.known.__getitem__
+        done = [next(rest) if c is None else b"".join(map(at, c)) for c in cuts]
+        for piece in missing:
+            if len(piece) > KEPT_LENGTH:
+                self.known.pop(piece, None)
+        return done
 
 
 @lru_cache(maxsize=4)
@@ -75,8 +113,24 @@ def file_encoder(path: str, spaces_matter: bool) -> WordEncoder:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    tokenize = tokenizer.model.tokenize
+
+    def whole(texts: list[str]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def as_one_word(piece: str) -> str | None:
+        """The bytes of a piece of letters only, as characters; None if its normal form or its pre-tokens are not plain to see."""
+        if spaces_matter:
+            plain = piece[piece[:1] == " ":].isalpha()
+        else:
+            piece = piece.lower()
+            plain = piece.isalpha() and max(piece) < PLAIN_BELOW
+        return piece.encode().decode("latin-1").translate(BYTE_NAMES) if plain else None
 
     def encode(texts: list[str]) -> list[bytes]:
-        return [as_bytes(x.ids) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        names = [as_one_word(t) for t in texts]
+        others = [t for t, name in zip(texts, names, strict=True) if name is None]
+        rest = iter(whole(others) if others else ())
+        return [next(rest) if name is None else array("I", [x.id for x in tokenize(name)]).tobytes() for name in names]
 
     return WordEncoder(encode, cut_before_spaces if spaces_matter else cut_at_spaces)
