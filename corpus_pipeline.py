@@ -51,7 +51,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their place in sequences of at most SEQUENCE_TOKENS; null texts are empty."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = stored(packing.token_pieces(docs.select("doc_id", "text"), path, END_TOKEN, SEQUENCE_TOKENS), "pipeline-pieces")
+    pieces = packing.token_pieces(docs.select("doc_id", "text"), path, END_TOKEN, SEQUENCE_TOKENS)
+    pieces = stored(pieces, "pipeline-pieces", compression="zstd")
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(digests, SEQUENCE_TOKENS)
 

@@ -76,7 +76,7 @@ def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     pieces = packing.token_pieces(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), 2, 1024)
-    kept = stored(pieces, "token-pieces")
+    kept = stored(pieces, "token-pieces", compression="zstd")
     digests = kept.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(digests, 1024)
 
