@@ -9,7 +9,7 @@ Decoding joins ids with the table of token bytes.
 
 What is shuffled is therefore the distinct words of blocks and the packed numbers, never a row per occurrence; a word that
 makes up a third of all text is one entry per block. Blocks are written before they are used twice, so a lost executor
-costs only its own tasks.
+costs only its own tasks. They are bucketed by block, so the numbers stay where they were written.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isochron.llm.tokens import cut_before_spaces
-from isochron.session import stored
+from isochron.session import fresh_path
 
 BLOCK_CHARS = 6_000_000
 BLOCK = "block string, doc_ids array<bigint>, counts array<bigint>, refs binary, word_buckets binary, buckets array<struct<bucket:int,words:binary>>"
@@ -153,6 +153,14 @@ def blocks(documents: DataFrame, pattern: str, buckets: int, block_chars: int) -
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(collect, BLOCK)
 
 
+def stored_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """A table in the shared folder, bucketed by a key: it is written where its rows are, and groups by the key need no shuffle of it."""
+    spark = df.sparkSession
+    n, table = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{name}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(n, key).option("path", fresh_path(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
 # -- Encoding ------------------------------------------------------------------------------------------------------------
 
 
@@ -208,7 +216,7 @@ def encode(documents: DataFrame, path: str, pattern: str, buckets: int, block_ch
     Null and empty texts have no ids. Repeated rows and null doc_ids come out as often as they went in; other columns are
     ignored; an empty table gives an empty result. Memory of a task: one block, or the distinct words of one bucket.
     """
-    made = stored(blocks(documents, pattern, buckets, block_chars), "word-blocks")
+    made = stored_by(blocks(documents, pattern, buckets, block_chars), "word_blocks", "block")
     asked = made.select("block", F.inline("buckets"))
     answers = encode_words(asked, path, pattern)
     numbers = made.select("block", "doc_ids", "counts", "refs", "word_buckets")
