@@ -316,6 +316,47 @@ def test_triples_are_counted_over_all_texts(spark, edge):
     assert pseudo_likelihood.count_triples(edge, classes).agg(F.sum("n")).first()[0] == n
 
 
+def test_wide_gradient_equals_differences():
+    network = pseudo_likelihood.Network.start(5, 3, span=2)
+    contexts, gaps, n = np.array([0, 7, 318, 318, 624]), np.array([1, 2, 4, 0, 3]), np.array([3, 1, 2, 1, 1], dtype=np.float32)
+    _, gradient = network.gradient(contexts, gaps, n)
+    flat = network.flat().astype(np.float64)
+    assert len(flat) == len(gradient) and np.abs(gradient[-30:]).max() > 0
+    for k in range(len(flat)):
+        up, down = flat.copy(), flat.copy()
+        up[k] += 1e-2
+        down[k] -= 1e-2
+        slope = (network.like(up).gradient(contexts, gaps, n)[0] - network.like(down).gradient(contexts, gaps, n)[0]) / 2e-2
+        assert slope == pytest.approx(gradient[k], abs=2e-2)
+
+
+def test_every_word_of_the_corpus_is_predicted(spark, monkeypatch):
+    """Scores are those of all words, from two words on either side; words of one class differ by how often they were counted."""
+    monkeypatch.setattr(pseudo_likelihood, "BLOCK_TOKENS", 50)
+    texts = [f"the cat and the dog saw common{i % 2} tail{i} near The house" for i in range(40)] + [None, "", "the rare0 cat", "the common0 cat"]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    blocks, totals, model = pseudo_likelihood.fit_corpus(documents, words=3, hashed=1, hidden=4, steps=3, span=2)
+    found = {r["doc_id"]: r for r in pseudo_likelihood.score_corpus(blocks, totals, model).collect()}
+    assert len(found) == len(texts) and blocks.count() > 5
+    counted = Counter(w for t in texts for w in (t or "").lower().split())
+    numbers = {w: k + 1 for k, w in enumerate(model.classes.words)}
+    assert model.classes.words[0] == "the" and len(counted) > 40
+    number = {w: numbers.get(w, 4) for w in counted}
+    of_class = Counter()
+    for w, n in counted.items():
+        of_class[number[w]] += n
+    network = model.network
+    for doc, text in enumerate(texts):
+        words = (text or "").lower().split()
+        c, total = [0, 0, *[number[w] for w in words], 0, 0], 0.0
+        for i, w in enumerate(words):
+            summed = network.left[c[i + 1]] + network.right[c[i + 3]] + network.far[0][c[i]] + network.far[1][c[i + 4]] + network.bias
+            scores = np.tanh(summed) @ network.out + network.out_bias
+            total += scores[number[w]] - np.log(np.exp(scores).sum()) + np.log(counted[w] / of_class[number[w]])
+        assert found[doc]["n_tokens"] == len(words) and found[doc]["log_likelihood"] == pytest.approx(total, abs=1e-3)
+    assert found[43]["log_likelihood"] - found[42]["log_likelihood"] == pytest.approx(np.log(counted["common0"]), abs=1e-3)
+
+
 def test_queries_without_sql_return_every_document(spark, small_dir):
     total = spark.read.parquet(f"{small_dir}/documents.parquet").count()
     for name in ("op1_sharding", "op3_pseudo_likelihood"):
