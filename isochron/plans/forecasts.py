@@ -310,14 +310,14 @@ def fc_hybrid_models(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def fc_forest(spark: SparkSession, sf: str) -> DataFrame:
-    """Fewer and shallower trees than the model's default, which are for training runs rather than for a query."""
-    return _shown(models.forest(_split(spark, sf), FEATURES, trees=20, depth=10))
+    """100 trees of depth 15."""
+    return _shown(models.forest(_split(spark, sf), FEATURES))
 
 
 @query()
 def fc_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    """Fewer and shallower trees, as above."""
-    return _shown(models.boosting(_split(spark, sf), FEATURES, trees=20, depth=5))
+    """100 rounds of depth 10."""
+    return _shown(models.boosting(_split(spark, sf), FEATURES))
 
 
 # Regions: results of four models, selection, complete series, views, reports.

@@ -175,3 +175,20 @@ def test_tree_forecasts_do_not_depend_on_shuffle_partitions(spark):
 
     first = forecasts(4)
     assert len(first) == 72 and first == forecasts(4) == forecasts(9)
+
+
+def test_tree_queries_run_the_whole_models(monkeypatch):
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+
+    from isochron.plans import forecasts
+
+    made = []
+    monkeypatch.setattr(forecasts, "_shown", lambda found: found)
+    monkeypatch.setattr(models, "shared_folder", lambda _: None)
+    monkeypatch.setattr(models, "tree_model", lambda _split, _features, estimator, name: made.append(estimator))
+    split = type("Split", (), {"sparkSession": None})()
+    monkeypatch.setattr(forecasts, "_split", lambda *_: split)
+    forecasts.fc_forest(None, ""), forecasts.fc_gbt(None, "")
+    forest, boosting = made
+    assert isinstance(forest, RandomForestRegressor) and (forest.getNumTrees(), forest.getMaxDepth()) == (100, 15)
+    assert isinstance(boosting, GBTRegressor) and (boosting.getMaxIter(), boosting.getMaxDepth()) == (100, 10)
