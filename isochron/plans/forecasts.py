@@ -320,7 +320,7 @@ def fc_gbt(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(models.boosting(_split(spark, sf), FEATURES))
 
 
-# Regions: results of four models, selection, complete series, views, reports.
+# Regions: results of four models that SQL can check and of all models, selection, complete series, views, reports.
 
 def _region_features(spark: SparkSession, sf: str) -> DataFrame:
     demand = inputs.region_demand(spark, sf).select(
@@ -385,6 +385,18 @@ def forecast_results(spark: SparkSession, sf: str) -> DataFrame:
     return _results(_region_features(spark, sf))
 
 
+@query()
+def forecast_results_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Results of every model: all baselines, the ARIMA chain, and each model of the registry on its residuals (or direct where none fitted)."""
+    measures = REGION_MEASURES[1:]
+    split = backtest.split_windows(_region_features(spark, sf), GEOMETRY)
+    fits = stored(models.arima_fits(split, measures), "arima-fits")
+    chain = models.arima(split, measures).drop("fit_ok", "arima_order")
+    modelled = models.run_models(split, [*measures, *FEATURES], tuple(models.REGISTRY), fits)
+    forecasts = models.baselines(split).unionByName(chain).unionByName(modelled)
+    return stored(backtest.score(forecasts, split, GEOMETRY.horizons), "results")
+
+
 @query(f"WITH {SQL_RESULTS} SELECT region_clean, horizon, model, mae, rmse, forecasts FROM best", rounded=["mae", "rmse"])
 def best_model_mae(spark: SparkSession, sf: str) -> DataFrame:
     return backtest.best_by_error(_results(_region_features(spark, sf)))

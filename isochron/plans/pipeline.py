@@ -51,7 +51,7 @@ def build_gold(spark: SparkSession, base: str) -> None:
 
 
 def build_analytics(
-    spark: SparkSession, base: str, geometry: Geometry = Geometry(), names: Sequence[str] = ("linear", "knn"),
+    spark: SparkSession, base: str, geometry: Geometry = Geometry(), names: Sequence[str] = tuple(models.REGISTRY),
     on_arima: bool = True,
 ) -> None:
     """Backtest results, complete series, forecasts by horizon and reports, from the facts."""

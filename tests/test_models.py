@@ -192,3 +192,21 @@ def test_tree_queries_run_the_whole_models(monkeypatch):
     forest, boosting = made
     assert isinstance(forest, RandomForestRegressor) and (forest.getNumTrees(), forest.getMaxDepth()) == (100, 15)
     assert isinstance(boosting, GBTRegressor) and (boosting.getMaxIter(), boosting.getMaxDepth()) == (100, 10)
+
+
+def test_results_hold_every_model(spark, small_dir, monkeypatch):
+    import inspect
+    from functools import partial
+
+    from isochron.plans import QUERIES, pipeline
+
+    assert set(inspect.signature(pipeline.build_analytics).parameters["names"].default) == set(models.REGISTRY)
+    for name in ("random_forest", "gradient_boosting"):
+        monkeypatch.setitem(models.REGISTRY, name, partial(models.REGISTRY[name], trees=2, depth=2))
+    found = QUERIES["forecast_results_all"](spark, small_dir).groupBy("model").count().collect()
+    counts = {r["model"]: r["count"] for r in found}
+    baselines = {"naive", "seasonal_naive", "moving_average", "exponential_smoothing"}
+    assert {m.removeprefix("SARIMAX_") for m in counts} == {f"baseline_{b}" for b in baselines} | {"SARIMAX"} | set(models.REGISTRY)
+    total = counts["baseline_naive"]
+    assert all(counts[f"baseline_{b}"] == total for b in baselines) and counts["SARIMAX"] == total
+    assert all(counts.get(m, 0) + counts.get(f"SARIMAX_{m}", 0) == total for m in models.REGISTRY)
