@@ -320,6 +320,36 @@ def fc_gbt(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(models.boosting(_split(spark, sf), FEATURES))
 
 
+SQL_STUMP = """
+levels AS (SELECT region_clean, "window", avg(y) AS series_level FROM train GROUP BY 1, 2),
+cells AS (
+  SELECT "window", f, v, sum(y) AS s, count(*) AS n FROM (
+    SELECT "window", y, unnest(['series_level', 'hour']) AS f, unnest([series_level, hour::DOUBLE]) AS v
+    FROM train JOIN levels USING (region_clean, "window")) GROUP BY 1, 2, 3),
+cuts AS (
+  SELECT "window", f, v, sum(s) OVER w AS s, sum(n) OVER w AS n, sum(s) OVER (PARTITION BY "window", f) AS all_s,
+         sum(n) OVER (PARTITION BY "window", f) AS all_n FROM cells WINDOW w AS (PARTITION BY "window", f ORDER BY v)),
+best_cut AS (
+  SELECT * FROM cuts WHERE n < all_n
+  QUALIFY row_number() OVER (PARTITION BY "window" ORDER BY s * s / n + (all_s - s) * (all_s - s) / (all_n - n) DESC, f, v) = 1),
+stump AS (
+  SELECT region_clean, "window", lead, ts_utc, consumption_mw AS actual_mw,
+         CASE WHEN (CASE WHEN f = 'hour' THEN hour::DOUBLE ELSE series_level END) <= v THEN s / n ELSE (all_s - s) / (all_n - n) END AS forecast_mw
+  FROM split JOIN levels USING (region_clean, "window") JOIN best_cut USING ("window") WHERE role = 'test')"""
+
+
+@query(f"""WITH {SQL_TYPES_FEATURES}, {SQL_STUMP}
+SELECT * FROM stump, (SELECT unnest(['random_forest', 'gradient_boosting']) AS model)""", rounded=_SHOWN)
+def fc_tree_stump(spark: SparkSession, sf: str) -> DataFrame:
+    """One split on the level of the series or the hour: a forest of one tree without sampling, and one step of boosting."""
+    from pyspark.ml.regression import RandomForestRegressor
+
+    split = _split(spark, sf)
+    tree = RandomForestRegressor(numTrees=1, maxDepth=1, seed=42, featureSubsetStrategy="all", bootstrap=False)
+    found = models.tree_model(split, ["hour"], tree, "random_forest").unionByName(models.boosting(split, ["hour"], trees=1, depth=1))
+    return found.select(*KEY, "window", "lead", "ts_utc", "actual_mw", "forecast_mw", "model")
+
+
 # Regions: results of four models that SQL can check and of all models, selection, complete series, views, reports.
 
 def _region_features(spark: SparkSession, sf: str) -> DataFrame:
