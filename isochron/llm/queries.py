@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from isochron.llm import bitplanes, near_dups, packing, pseudo_likelihood, quality, sharding, sketches, toxicity, urls, word_shuffle
+from isochron.llm import (
+    bitplanes, hard_negatives, language, lexical_search, near_dups, packing, pseudo_likelihood, quality, sharding, sketches, toxicity, urls,
+    word_shuffle,
+)
 from isochron.session import apply_settings, fresh_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,3 +218,75 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by its shortest code, the trees learnt on three quarters of the rows."""
+    rows = documents(spark, sf_dir, "doc_id", "text", "lang")
+    found = language.predict(rows, language.train(rows))
+    held = F.coalesce(language.held_out(F.col("doc_id")), F.lit(False))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "bits")
+
+
+SQL_LEXICAL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{term}')) AS term
+  FROM documents
+),
+held AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM held GROUP BY 1),
+corpus AS (SELECT count(*) AS documents, sum(n)::BIGINT AS terms FROM sizes),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY 1), corpus
+),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{term}')) AS term
+  FROM benchmark
+),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * documents) // terms))))::BIGINT AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), corpus GROUP BY ALL
+),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10"""
+
+
+@query(SQL_LEXICAL.replace("{term}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item, by two trees."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return lexical_search.search(documents(spark, sf_dir), items)
+
+
+SQL_HARD_NEGATIVES = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+pairs AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM pairs JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5"""
+
+
+@query(SQL_HARD_NEGATIVES)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all vectors."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    return hard_negatives.mine(rows)
