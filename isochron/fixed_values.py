@@ -142,6 +142,8 @@ LEADING_COLUMNS = ["region", "date", "heure", "ts_local", "nature", "perimetre"]
 
 # Columns a timestamp may hide in, in order of preference.
 TIMESTAMP_CANDIDATES = ["timestamp", "datetime", "date_time", "time"]
+# A column may hold a date when its name holds one of these.
+DATE_LIKE = ["date", "time", "ts"]
 
 # Forecast horizons (hours), window geometry, feature lags and spans.
 SHORT_HORIZONS = [1, 2, 3, 6]

@@ -70,27 +70,23 @@ def fan_out(test: DataFrame, horizons: Sequence[int]) -> DataFrame:
     return test.withColumn("horizon", F.explode(reached))
 
 
-def train_bounds(split: DataFrame, ts: str = "ts_utc") -> DataFrame:
-    return split.where("role = 'train'").groupBy(*GROUP).agg(
-        F.min(ts).alias("train_start"), F.max(ts).alias("train_end")
-    )
-
-
-def score(forecasts: DataFrame, split: DataFrame, horizons: Sequence[int], ts: str = "ts_utc") -> DataFrame:
-    """Forecast rows fanned out over horizons with errors, training bounds and flags.
+def score(forecasts: DataFrame, geometry: Geometry, ts: str = "ts_utc", grain: str = "HOUR") -> DataFrame:
+    """Forecast rows with errors, training bounds and flags, fanned out over horizons at the end.
 
-    `forecasts` has series, window, lead, ts_utc, model, forecast_mw, actual_mw and sarimax_baseline_used. mae and rmse
+    `forecasts` has series, window, lead, ts_utc, model, forecast_mw, actual_mw and sarimax_baseline_used. In a dense panel the bounds of a row's
+    training part follow from its lead and the geometry, so nothing is joined or shuffled. mae and rmse
     are per row (both the absolute error); r2 has no value for a single row.
     """
-    rows = fan_out(forecasts, horizons).join(train_bounds(split, ts), GROUP)
     miss = F.col("actual_mw") - F.col("forecast_mw")
-    return rows.select(
-        F.col(KEY).alias("region"), "model", F.lit("sliding").alias("validation_type"), "horizon", "window", ts,
-        "forecast_mw", "actual_mw", "train_start", "train_end",
-        F.timestamp_add("HOUR", 1 - F.col("horizon"), F.col(ts)).alias("test_start"), F.col(ts).alias("test_end"),
+    length = F.lit(geometry.train) + (F.col("window") * geometry.step if geometry.expanding else 0)
+    back = lambda steps: F.timestamp_add(grain, (-steps).cast("int"), F.col(ts))
+    rows = forecasts.select(
+        F.col(KEY).alias("region"), "model", F.lit("sliding").alias("validation_type"), "window", ts, "forecast_mw", "actual_mw",
+        back(F.col("lead") + length - 1).alias("train_start"), back(F.col("lead")).alias("train_end"), F.col(ts).alias("test_end"),
         F.abs(miss).alias("mae"), F.sqrt(miss * miss).alias("rmse"), F.lit(None).cast("double").alias("r2"),
         "sarimax_baseline_used", F.startswith("model", F.lit("baseline_")).alias("is_baseline"), KEY, "lead",
     )
+    return fan_out(rows, geometry.horizons).withColumn("test_start", F.timestamp_add("HOUR", 1 - F.col("horizon"), F.col(ts)))
 
 
 def best_by_error(results: DataFrame) -> DataFrame:

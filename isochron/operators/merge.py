@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isochron.fixed_values import TIMESTAMP_CANDIDATES
+from isochron.fixed_values import DATE_LIKE, TIMESTAMP_CANDIDATES
+from isochron.functions.clock import local_to_utc, utc_to_local
+from isochron.operators.shape import quoted
 from isochron.session import shared_folder
 
 
@@ -75,6 +77,42 @@ def ensure_timestamp(df: DataFrame, dim_time: DataFrame | None = None, base: str
     return numbered.withColumn("ts_utc", F.timestamp_micros(micros)).drop("_row")
 
 
+def _instant(df: DataFrame, name: str) -> Column | None:
+    """A date-like column as an instant: dates and timestamps as they are, texts read as such, whole numbers as epochs of the unit their size
+    tells; None for other types."""
+    kind, value = df.schema[name].dataType.typeName(), F.col(quoted(name))
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        return value.cast("timestamp")
+    if kind == "string":
+        return F.try_to_timestamp(value)
+    if kind in ("long", "integer"):
+        size = F.abs(value)
+        micros = F.when(size >= 10**17, F.call_function("div", value, F.lit(1000))).when(size >= 10**14, value).when(
+            size >= 10**11, value * 1000).otherwise(value.cast("long") * 1_000_000)
+        return F.timestamp_micros(micros)
+    return None
+
+
+def recover_timestamps(df: DataFrame, overlap: str = "earliest", stamp: Column | None = None) -> DataFrame:
+    """ts_utc and ts_paris of every row, from the first source of a chain that has a value in that row.
+
+    The chain: ts_hour_utc, ts_utc, the local time ts_paris (clock changes by `overlap`), columns whose name holds date, time or ts in the order of
+    the table, and last `stamp` (null unless given, as a job's own clock says nothing about a row). Which sources there are is read from the schema, which
+    of them holds is decided row by row. A ts_paris that is there stays; a missing one follows from ts_utc.
+    """
+    chain = [F.col(name).cast("timestamp") for name in ("ts_hour_utc", "ts_utc") if name in df.columns]
+    local = F.col("ts_paris").cast("timestamp") if "ts_paris" in df.columns else None
+    if local is not None:
+        chain.append(local_to_utc(local, overlap=overlap))
+    used = {"ts_hour_utc", "ts_utc", "ts_paris"}
+    like = [c for c in df.columns if c not in used and any(part in c for part in DATE_LIKE)]
+    chain += [found for found in (_instant(df, name) for name in like) if found is not None]
+    chain.append(stamp if stamp is not None else F.lit(None).cast("timestamp"))
+    timed = df.withColumn("ts_utc", F.coalesce(*chain))
+    derived = utc_to_local(F.col("ts_utc"))
+    return timed.withColumn("ts_paris", derived if local is None else F.coalesce(local, derived))
+
+
 def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Rows numbered from 0 in the given order without gathering them in one partition.
 

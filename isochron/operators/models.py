@@ -8,8 +8,8 @@ forests and boosting use Spark ML on all series together.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
+from functools import partial, reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from isochron.fixed_values import SEASON
 from isochron.functions.binding import let
+from isochron.operators import trees as grown
 from isochron.operators.backtest import GROUP, KEY
 from isochron.session import shared_folder
 
@@ -110,10 +111,21 @@ def _holt_fold(values: Column, alpha: Column, beta: Column) -> Column:
     return F.aggregate(F.slice(values, 2, F.greatest(F.size(values) - 1, F.lit(0))), start, step)
 
 
-def smoothing(split: DataFrame, alphas: Sequence[float] | None = None, betas: Sequence[float] | None = None) -> DataFrame:
+SMALLEST_WEIGHT = 0.0001
+
+
+def refining_steps(rounds: int, step: float = 0.1) -> list[float]:
+    """Distances between the points of each finer grid: a third of the one before."""
+    return [step / 3 ** (i + 1) for i in range(rounds)]
+
+
+def smoothing(
+    split: DataFrame, alphas: Sequence[float] | None = None, betas: Sequence[float] | None = None, rounds: int = 0,
+) -> DataFrame:
     """baseline_exponential_smoothing: additive trend, no season.
 
-    The smoothing weights minimise the squared one-step error over a grid. All points of the grid are folded over a group's
+    The smoothing weights minimise the squared one-step error over a grid, then over `rounds` grids of nine points around the best so far, each a
+    third as wide: six rounds fix them to four decimals. All points are folded over a group's
     values where they were gathered, so a series is shuffled once. Under ten training rows: the moving average.
     """
     grid = [round(0.1 * i, 1) for i in range(1, 10)]
@@ -129,8 +141,24 @@ def smoothing(split: DataFrame, alphas: Sequence[float] | None = None, betas: Se
             s["sse"].alias("sse"), point["alpha"].alias("alpha"), point["beta"].alias("beta"), s["level"].alias("level"), s["trend"].alias("trend")
         ))
 
+    def finer(step: float) -> Callable[[Column], Column]:
+        near = [(a * step, b * step) for a in (-1, 0, 1) for b in (-1, 0, 1)]
+        offsets = F.array(*[F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta")) for a, b in near])
+
+        def least(best: Column) -> Column:
+            around = F.transform(offsets, lambda o: F.struct(
+                F.least(F.greatest(best["alpha"] + o["alpha"], F.lit(SMALLEST_WEIGHT)), F.lit(1.0)).alias("alpha"),
+                F.least(F.greatest(best["beta"] + o["beta"], F.lit(0.0)), F.lit(1.0)).alias("beta"),
+            ))
+            return F.array_min(F.transform(around, trial))
+
+        return least
+
+    found = F.array_min(F.transform(points, trial))
+    for step in refining_steps(rounds):
+        found = let(found, finer(step))
     best = series.select(
-        *GROUP, F.array_min(F.transform(points, trial)).alias("s"),
+        *GROUP, found.alias("s"),
         F.when(F.size("values") < 10, moving_average(F.col("values"))).alias("short"),
     )
     rows = _test_rows(split).join(best, GROUP)
@@ -207,29 +235,38 @@ def _per_group(split: DataFrame, features: Sequence[str], target: str, predict)
     return split.select(*columns).groupBy(*GROUP).applyInPandas(run, OUTPUT)
 
 
+def predict_linear(x: np.ndarray, y: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Least squares on all features."""
+    weights, intercept = _solve(x, y)
+    return new @ weights + intercept
+
+
+def predict_nearest(x: np.ndarray, y: np.ndarray, new: np.ndarray, k: int = 10) -> np.ndarray:
+    """Mean of the k training rows nearest in unscaled Euclidean distance (ties to the earlier row)."""
+    n = min(k, len(x))
+    means = []
+    for block in np.array_split(new, max(1, len(new) // 64)):
+        distance = ((x[None] - block[:, None]) ** 2).sum(axis=2)
+        bound = np.partition(distance, n - 1, axis=1)[:, n - 1:n]
+        nearer, tied = distance < bound, distance == bound
+        room = n - nearer.sum(axis=1, keepdims=True)
+        means.append(((nearer | (tied & (tied.cumsum(axis=1) <= room))) @ y) / n)
+    return np.concatenate(means)
+
+
+def predicted(split: DataFrame, features: Sequence[str], predict) -> DataFrame:
+    """Any function of (training features, training values, test features) in each group."""
+    return _per_group(split, features, Y, predict)
+
+
 def linear(split: DataFrame, features: Sequence[str], target: str = Y) -> DataFrame:
     """Least squares on all features, one small solve per group."""
-    def predict(x, y, new):
-        weights, intercept = _solve(x, y)
-        return new @ weights + intercept
-
-    return _named(_per_group(split, features, target, predict), "linear")
+    return _named(_per_group(split, features, target, predict_linear), "linear")
 
 
 def knn(split: DataFrame, features: Sequence[str], k: int = 10, target: str = Y) -> DataFrame:
-    """Mean of the k training rows nearest in unscaled Euclidean distance (ties to the earlier row)."""
-    def predict(x, y, new):
-        n = min(k, len(x))
-        means = []
-        for block in np.array_split(new, max(1, len(new) // 64)):
-            distance = ((x[None] - block[:, None]) ** 2).sum(axis=2)
-            bound = np.partition(distance, n - 1, axis=1)[:, n - 1:n]
-            nearer, tied = distance < bound, distance == bound
-            room = n - nearer.sum(axis=1, keepdims=True)
-            means.append(((nearer | (tied & (tied.cumsum(axis=1) <= room))) @ y) / n)
-        return np.concatenate(means)
-
-    return _named(_per_group(split, features, target, predict), "knn")
+    """Nearest neighbours inside each group."""
+    return _named(_per_group(split, features, target, partial(predict_nearest, k=k)), "knn")
 
 
 # Seasonal ARIMA orders in the sequence tried, as (p, d, q, seasonal p, seasonal d, seasonal q).
@@ -289,6 +326,16 @@ def _lags(order: int, seasonal: int, season: int) -> list[int]:
     return sorted({i + season * j for i in range(order + 1) for j in range(seasonal + 1)} - {0})
 
 
+def arima_chain(y: np.ndarray, n: int, x: np.ndarray, orders: Sequence[tuple], season: int) -> tuple[np.ndarray, bool, int]:
+    """(fits of n training values and forecasts after them, whether an order worked, which)."""
+    if n >= 48:
+        for chosen, order in enumerate(orders):
+            path = _arima_path(y, n, x, order, season)
+            if path is not None:
+                return path, True, chosen
+    return np.r_[y[:n], np.full(len(y) - n, y[max(n - season, 0):n].mean() if n else 0.0)], False, -1
+
+
 def arima_fits(
     split: DataFrame, exogenous: Sequence[str] = (), orders: Sequence[tuple] = tuple(ARIMA_ORDERS), season: int = SEASON,
 ) -> DataFrame:
@@ -304,17 +351,9 @@ def arima_fits(
         pdf = pdf.sort_values("lead", ignore_index=True)
         n = int((pdf["role"] == "train").sum())
         y, x = pdf[Y].to_numpy(float), pdf[list(exogenous)].fillna(0.0).to_numpy(float)
-        path, chosen = None, -1
-        if n >= 48:
-            for chosen, order in enumerate(orders):
-                path = _arima_path(y, n, x, order, season)
-                if path is not None:
-                    break
-        ok = path is not None
-        if not ok:
-            path = np.r_[y[:n], np.full(len(y) - n, y[max(n - season, 0):n].mean() if n else 0.0)]
+        path, ok, chosen = arima_chain(y, n, x, orders, season)
         out = pdf[[*GROUP, "lead"]].copy()
-        return out.assign(fitted=path, fit_ok=ok, arima_order=chosen if ok else -1)
+        return out.assign(fitted=path, fit_ok=ok, arima_order=chosen)
 
     columns = list(dict.fromkeys([*GROUP, "lead", "role", Y, *exogenous]))
     return split.select(*columns).groupBy(*GROUP).applyInPandas(run, ARIMA_OUTPUT)
@@ -407,16 +446,43 @@ def boosting(split: DataFrame, features: Sequence[str], trees: int = 100, depth:
     return tree_model(split, features, estimator, "gradient_boosting")
 
 
-# Models by name, each a function of (split, features). Baselines come from `baselines`.
-REGISTRY = {"linear": linear, "random_forest": forest, "gradient_boosting": boosting, "knn": knn}
+# Models by name: functions of (training features, training values, test features) that give the test values. Baselines come from `baselines`.
+REGISTRY = {"linear": predict_linear, "random_forest": grown.forest, "gradient_boosting": grown.boosting, "knn": predict_nearest}
+ROWS = f"{OUTPUT}, model string, sarimax_baseline_used boolean"
+FIT_TASKS = 4
 
 
-def run_models(split: DataFrame, features: Sequence[str], names: Sequence[str], fits: DataFrame | None = None) -> DataFrame:
-    """Forecasts of the named models, on top of ARIMA fits if given."""
-    def one(name: str) -> DataFrame:
-        model = REGISTRY[name]
-        if fits is None:
-            return model(split, features)
-        return hybrid(split, fits, lambda part: model(part, features))
+def run_models(
+    split: DataFrame, features: Sequence[str], names: Sequence[str], exogenous: Sequence[str] = (),
+    orders: Sequence[tuple] | None = tuple(ARIMA_ORDERS), season: int = SEASON,
+) -> DataFrame:
+    """Forecasts of the seasonal ARIMA chain and of the named models in one shuffle: each (series, window) group is fitted once by all of them.
+
+    The models learn the residuals of the chain, and its forecast is added to theirs (SARIMAX_<name>); where no order fits, they learn the
+    values and stand alone. Without `orders` there is no chain. A group holds the training and test rows of a window, which the
+    geometry bounds; all series and windows run in parallel, and a repeated task gives the same rows.
+    """
+    chosen = {name: REGISTRY[name] for name in names}
+    inputs = list(dict.fromkeys([*features, *exogenous]))
 
-    return reduce(DataFrame.unionByName, [one(name) for name in names])
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("lead", ignore_index=True)
+        n = int((pdf["role"] == "train").sum())
+        cells = pdf[inputs].astype(float).fillna(0.0)
+        y = pdf[Y].fillna(0.0).to_numpy(float)
+        x, path, ok = cells[list(features)].to_numpy(float), np.zeros(len(y)), False
+        found = []
+        if orders is not None:
+            path, ok, _ = arima_chain(y, n, cells[list(exogenous)].to_numpy(float), orders, season)
+            found.append(("SARIMAX", path[n:]))
+        base = path if ok else np.zeros(len(y))
+        for name, predict in chosen.items():
+            values = predict(x[:n], y[:n] - base[:n], x[n:]) + base[n:] if n else np.full(len(y) - n, np.nan)
+            found.append((f"SARIMAX_{name}" if ok else name, values))
+        rows = pdf.loc[n:, [*GROUP, "lead", "ts_utc", Y]].rename(columns={Y: "actual_mw"})
+        return pd.concat([rows.assign(forecast_mw=values, model=model, sarimax_baseline_used=ok) for model, values in found])
+
+    columns = list(dict.fromkeys([*GROUP, "lead", "role", "ts_utc", Y, *inputs]))
+    # Fits cost far more than rows, so groups are spread over a number of tasks of their own, which the size of the rows does not lower.
+    tasks = FIT_TASKS * int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return split.select(*columns).repartition(tasks, *GROUP).groupBy(*GROUP).applyInPandas(run, ROWS)

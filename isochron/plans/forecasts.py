@@ -5,12 +5,14 @@ Model queries run on the hourly panel of event types, the views and reports on t
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isochron.fixed_values import FEATURE_LAGS, FEATURE_SPANS, MAX_WINDOWS
+from isochron.fixed_values import FEATURE_LAGS, FEATURE_SPANS, MAX_WINDOWS, SEASON
 from isochron.functions.regions import LABELS
-from isochron.operators import backtest, models, panel, reports, star
+from isochron.operators import backtest, models, panel, reports, star, trees, windows
 from isochron.operators.backtest import Geometry
 from isochron.operators.holidays import holiday_features
 from isochron.plans import inputs, views
@@ -34,10 +36,13 @@ def _split(spark: SparkSession, sf: str) -> DataFrame:
     return backtest.split_windows(_features(spark, sf), GEOMETRY)
 
 
+def _filled(spark: SparkSession, sf: str) -> DataFrame:
+    return stored(panel.fill_gaps(inputs.dense_type_panel(spark, sf), KEY, ["consumption_mw"]), "filled")
+
+
 def _filled_split(spark: SparkSession, sf: str) -> DataFrame:
     """Split windows of the filled series alone, for models without features."""
-    filled = panel.fill_gaps(inputs.dense_type_panel(spark, sf), KEY, ["consumption_mw"])
-    return backtest.split_windows(stored(filled, "filled"), GEOMETRY)
+    return backtest.split_windows(_filled(spark, sf), GEOMETRY)
 
 
 _RAW_FEATURES = [f"consumption_lag_{k}" for k in FEATURE_LAGS] + [f"consumption_rolling_mean_{n}" for n in FEATURE_SPANS]
@@ -117,6 +122,33 @@ best_holt AS (
   QUALIFY row_number() OVER (PARTITION BY region_clean, "window" ORDER BY sse, alpha, beta) = 1)"""
 
 
+def _sql_refined(rounds: int) -> str:
+    """The same grid, then `rounds` grids of nine points around the best point so far."""
+    parts, before = [], "best_holt"
+    first = 1 - GEOMETRY.train
+    for i, step in enumerate(models.refining_steps(rounds)):
+        near = [(a * step, b * step) for a in (-1, 0, 1) for b in (-1, 0, 1)]
+        offsets = ", ".join(f"({a!r}::DOUBLE, {b!r}::DOUBLE)" for a, b in near)
+        parts.append(f"""
+near{i} AS (
+  SELECT region_clean, "window", least(greatest(alpha + a, {models.SMALLEST_WEIGHT}::DOUBLE), 1.0::DOUBLE) AS alpha, least(greatest(beta + b, 0.0::DOUBLE), 1.0::DOUBLE) AS beta
+  FROM {before}, (VALUES {offsets}) o(a, b)),
+holt{i} AS (
+  SELECT t.region_clean, t.window, alpha, beta, t.lead, t.y AS level, n.y - t.y AS trend, 0.0::DOUBLE AS sse
+  FROM train t JOIN train n ON n.region_clean = t.region_clean AND n.window = t.window AND n.lead = t.lead + 1
+  JOIN near{i} p ON p.region_clean = t.region_clean AND p.window = t.window WHERE t.lead = {first}
+  UNION ALL
+  SELECT h.region_clean, h.window, alpha, beta, t.lead, h.level + h.trend + alpha * (t.y - (h.level + h.trend)),
+         h.trend + beta * alpha * (t.y - (h.level + h.trend)), h.sse + (t.y - (h.level + h.trend)) * (t.y - (h.level + h.trend))
+  FROM holt{i} h JOIN train t ON t.region_clean = h.region_clean AND t.window = h.window AND t.lead = h.lead + 1),
+best_holt{i} AS (
+  SELECT * FROM holt{i} WHERE lead = 0
+  QUALIFY row_number() OVER (PARTITION BY region_clean, "window" ORDER BY sse, alpha, beta) = 1)""")
+        before = f"best_holt{i}"
+    return ",".join(parts)
+
+
+REFINING_ROUNDS = 6
 SQL_HOLT = """
 SELECT t.*, h.level + t.lead * h.trend AS forecast_mw FROM test t
 JOIN best_holt h ON h.region_clean = t.region_clean AND h.window = t.window"""
@@ -139,6 +171,31 @@ def backtest_windows(spark: SparkSession, sf: str) -> DataFrame:
     return both.select(*KEY, "ts_utc", "window", "lead", "role", "horizon", "consumption_mw")
 
 
+COVERED = Geometry(train=240, step=168, min_coverage=0.8)
+
+
+def _sql_covered(panel_sql: str, side: str) -> str:
+    return f"""
+SELECT * FROM (WITH {panel_sql}, {SQL_FILLED}, {_sql_split(COVERED)},
+shares AS (SELECT region_clean, "window", avg(observed::INT) AS share FROM train GROUP BY 1, 2)
+SELECT '{side}' AS side, region_clean, "window", share FROM shares WHERE share >= {COVERED.min_coverage})"""
+
+
+@query(f"""{_sql_covered(inputs.SQL_TYPE_PANEL, "types")} UNION ALL {_sql_covered(inputs.sql_dense(
+    f"SELECT {inputs.sql_pick(LABELS, 'user_id')} AS region_clean, date_trunc('hour', ts) AS ts_utc, avg(value) AS consumption_mw FROM events GROUP BY 1, 2"), "regions")}""",
+       rounded=["share"])
+def backtest_covered(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of which four fifths of the training hours were observed, with that share."""
+    regions = inputs.events(spark, sf).select(inputs.pick(LABELS, F.col("user_id")).alias("region_clean"), "ts", F.col("value").alias("consumption_mw"))
+    sides = {"types": inputs.type_panel(spark, sf), "regions": stored(panel.mean_by_step(regions, KEY, "ts", ["consumption_mw"]), "regions-panel")}
+    found = []
+    for side, observed in sides.items():
+        split = backtest.split_windows(panel.densify(observed, KEY), COVERED).where("role = 'train'")
+        shares = split.groupBy(*KEY, "window").agg(F.avg(F.col("observed").cast("int")).alias("share"))
+        found.append(shares.select(F.lit(side).alias("side"), *KEY, "window", "share"))
+    return found[0].unionByName(found[1])
+
+
 @query(f"""WITH {SQL_TYPES_FEATURES}
 SELECT region_clean, "window", lead, ts_utc, {", ".join(FEATURES)} FROM split""",
        rounded=[*_RAW_FEATURES, "hour_sin", "hour_cos", "dow_sin", "dow_cos"])
@@ -165,7 +222,30 @@ def fc_seasonal_naive(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {SQL_TYPES} {SQL_MOVING_AVERAGE}", rounded=_SHOWN)
 def fc_moving_average(spark: SparkSession, sf: str) -> DataFrame:
-    return _shown(models.last_value_models(_filled_split(spark, sf)).where("model = 'baseline_moving_average'"))
+    """From differences of running sums."""
+    filled = _filled(spark, sf)
+    sums = stored(windows.running_sums(filled, {"consumption_mw": F.col("consumption_mw")}), "running-sums")
+    return _shown(windows.moving_average(sums, filled, GEOMETRY, SEASON))
+
+
+_STATS = ["mean", "variance", "covariance", "slope"]
+
+
+@query(f"""WITH {SQL_TYPES_FEATURES}
+SELECT region_clean, "window", count(*) AS train_rows, avg(y) AS mean, var_pop(y) AS variance,
+       covar_pop(consumption_lag_24, y) AS covariance, coalesce(covar_pop(consumption_lag_24, y) / nullif(var_pop(consumption_lag_24), 0), 0) AS slope
+FROM train GROUP BY 1, 2""", rounded=_STATS)
+def fc_window_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean, variance, covariance with the day before and slope of each training window, from two rows of running sums."""
+    terms = windows.moments(["consumption_lag_24"])
+    sums = stored(windows.running_sums(_features(spark, sf), terms), "running-sums")
+    found = windows.window_sums(sums, GEOMETRY, list(terms))
+    n, mean_x, mean_y = F.col("s"), F.col("s0") / F.col("s"), F.col("s1") / F.col("s")
+    covariance, spread = F.col("s0_1") / n - mean_x * mean_y, F.col("s0_0") / n - mean_x * mean_x
+    return found.select(
+        *KEY, "window", n.cast("bigint").alias("train_rows"), mean_y.alias("mean"), (F.col("s1_1") / n - mean_y * mean_y).alias("variance"),
+        covariance.alias("covariance"), F.when(spread > 1e-9, covariance / spread).otherwise(F.lit(0.0)).alias("slope"),
+    )
 
 
 @query(f"WITH RECURSIVE {SQL_TYPES}, {_sql_holt([0.3], [0.1])} {SQL_HOLT}", rounded=_SHOWN)
@@ -174,6 +254,13 @@ def fc_holt(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(models.smoothing(_filled_split(spark, sf), [0.3], [0.1]))
 
 
+@query(f"""WITH RECURSIVE {SQL_TYPES}, {_sql_holt(_GRID, [0.0, *_GRID])}, {_sql_refined(REFINING_ROUNDS)}
+{SQL_HOLT.replace("best_holt", f"best_holt{REFINING_ROUNDS - 1}")}""", rounded=_SHOWN)
+def fc_holt_refined(spark: SparkSession, sf: str) -> DataFrame:
+    """Smoothing with weights chosen on the grid and refined to four decimals."""
+    return _shown(models.smoothing(_filled_split(spark, sf), rounds=REFINING_ROUNDS))
+
+
 @query(f"""WITH RECURSIVE {SQL_TYPES}, {_sql_holt(_GRID, [0.0, *_GRID])}
 SELECT *, 'baseline_naive' AS model FROM ({SQL_NAIVE}) UNION ALL SELECT *, 'baseline_seasonal_naive' FROM ({SQL_SEASONAL_NAIVE})
 UNION ALL SELECT *, 'baseline_moving_average' FROM ({SQL_MOVING_AVERAGE})
@@ -261,6 +348,51 @@ def fc_linear(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(models.linear(_split(spark, sf), FEATURES))
 
 
+_THREE = ["consumption_lag_1", "consumption_lag_24", "consumption_rolling_mean_12"]
+
+
+def _sql_cramer(features: list[str], source: str = "train") -> str:
+    """fit(region_clean, window, w0, w1, w2, intercept): least squares on three features by Cramer's rule."""
+    cov = ", ".join(
+        [f"covar_pop({a}, {b}) AS c{i}{j}" for i, a in enumerate(features) for j, b in enumerate(features) if i <= j]
+        + [f"covar_pop({a}, y) AS b{i}" for i, a in enumerate(features)] + [f"avg({a}) AS m{i}" for i, a in enumerate(features)]
+    )
+    matrix = [["c00", "c01", "c02"], ["c01", "c11", "c12"], ["c02", "c12", "c22"]]
+
+    def determinant(m: list[list[str]]) -> str:
+        (a, b, c), (d, e, f), (g, h, i) = m
+        return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+    def replaced(k: int) -> list[list[str]]:
+        return [[f"b{r}" if c == k else matrix[r][c] for c in range(3)] for r in range(3)]
+
+    weights = ", ".join(f"{determinant(replaced(k))} / {determinant(matrix)} AS w{k}" for k in range(3))
+    return f"""
+moments AS (SELECT region_clean, "window", avg(y) AS level, {cov} FROM {source} GROUP BY 1, 2),
+weighed AS (SELECT *, {weights} FROM moments),
+fit AS (SELECT region_clean, "window", w0, w1, w2, level - w0 * m0 - w1 * m1 - w2 * m2 AS intercept FROM weighed)"""
+
+
+SQL_LINEAR3 = f"""WITH {SQL_TYPES_FEATURES}, {_sql_cramer(_THREE)}
+SELECT region_clean, "window", lead, ts_utc, consumption_mw AS actual_mw,
+       intercept + w0 * {_THREE[0]} + w1 * {_THREE[1]} + w2 * {_THREE[2]} AS forecast_mw
+FROM split JOIN fit USING (region_clean, "window") WHERE role = 'test'"""
+
+
+@query(SQL_LINEAR3, rounded=_SHOWN)
+def fc_linear3(spark: SparkSession, sf: str) -> DataFrame:
+    """Least squares on three features: moments as one aggregation, solved by a fold."""
+    return _shown(windows.least_squares(_split(spark, sf), _THREE))
+
+
+@query(SQL_LINEAR3, rounded=_SHOWN)
+def fc_linear3_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from running sums, without copying training rows into windows."""
+    features = _features(spark, sf)
+    sums = stored(windows.running_sums(features, windows.moments(_THREE)), "running-sums")
+    return _shown(windows.least_squares_by_sums(sums, features, GEOMETRY, _THREE))
+
+
 _DISTANCE = " + ".join(f"(t.{f} - r.{f}) * (t.{f} - r.{f})" for f in FEATURES)
 
 
@@ -282,6 +414,46 @@ def fc_sar(spark: SparkSession, sf: str) -> DataFrame:
     return models.arima(_split(spark, sf), exogenous).drop("model")
 
 
+@query(f"""WITH {SQL_TYPES},
+pairs AS (SELECT *, lag(y) OVER (PARTITION BY region_clean, "window" ORDER BY lead) AS b FROM train),
+fit AS (SELECT region_clean, "window", sum(y * b) / nullif(sum(b * b), 0) AS phi, max_by(y, lead) AS last_y FROM pairs GROUP BY 1, 2)
+SELECT region_clean, "window", lead, ts_utc, actual_mw, last_y * power(phi, lead) AS forecast_mw, 'autoregression' AS model FROM test JOIN fit USING (region_clean, "window")
+UNION ALL SELECT region_clean, "window", lead, ts_utc, actual_mw, forecast_mw, 'seasonal difference' FROM ({SQL_SDIFF})""", rounded=_SHOWN)
+def fc_sar_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """The fitted chain held to two orders with closed forms: a first autoregression, and the seasonal difference."""
+    split = _filled_split(spark, sf)
+    orders = {"autoregression": (1, 0, 0, 0, 0, 0), "seasonal difference": (0, 1, 0, 0, 1, 0)}
+    found = [_shown(models.arima(split, orders=[order])).withColumn("model", F.lit(name)) for name, order in orders.items()]
+    return found[0].unionByName(found[1])
+
+
+_RESIDUAL_DISTANCE = " + ".join(f"(t.{f} - r.{f}) * (t.{f} - r.{f})" for f in _THREE)
+
+
+SQL_RESIDUALS = """
+fits AS (SELECT *, coalesce(lag(y, 1) OVER w + lag(y, 24) OVER w - lag(y, 25) OVER w, y) AS fitted
+         FROM train WINDOW w AS (PARTITION BY region_clean, "window" ORDER BY lead)),
+residuals AS (SELECT * REPLACE (y - fitted AS y) FROM fits)"""
+
+
+@query(f"""WITH {SQL_TYPES_FEATURES}, {SQL_RESIDUALS}, {_sql_cramer(_THREE, "residuals")},
+base AS ({SQL_SDIFF}),
+near AS (
+  SELECT t.region_clean, t.window, t.lead, r.y,
+         row_number() OVER (PARTITION BY t.region_clean, t.window, t.lead ORDER BY {_RESIDUAL_DISTANCE}, r.lead) AS place
+  FROM split t JOIN residuals r ON r.region_clean = t.region_clean AND r.window = t.window WHERE t.role = 'test'),
+added AS (
+  SELECT region_clean, "window", lead, intercept + w0 * {_THREE[0]} + w1 * {_THREE[1]} + w2 * {_THREE[2]} AS residual, 'SARIMAX_linear' AS model
+  FROM split JOIN fit USING (region_clean, "window") WHERE role = 'test'
+  UNION ALL SELECT region_clean, "window", lead, avg(y), 'SARIMAX_knn' FROM near WHERE place <= 10 GROUP BY 1, 2, 3
+  UNION ALL SELECT region_clean, "window", lead, 0, 'SARIMAX' FROM test)
+SELECT base.* REPLACE (base.forecast_mw + residual AS forecast_mw), model FROM base JOIN added USING (region_clean, "window", lead)""", rounded=_SHOWN)
+def fc_hybrid_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """The one pass of all models held to the seasonal difference, with linear and nearest-neighbour models of its residuals."""
+    found = models.run_models(_split(spark, sf), _THREE, ["linear", "knn"], orders=[(0, 1, 0, 0, 1, 0)])
+    return found.drop("sarimax_baseline_used")
+
+
 @query(f"""WITH {SQL_TYPES_FEATURES},
 fits AS (SELECT *, coalesce(lag(y, 1) OVER w + lag(y, 24) OVER w - lag(y, 25) OVER w, y) AS fitted
          FROM train WINDOW w AS (PARTITION BY region_clean, "window" ORDER BY lead)),
@@ -303,9 +475,7 @@ def fc_hybrid(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def fc_hybrid_models(spark: SparkSession, sf: str) -> DataFrame:
     """The fitted ARIMA chain with linear and nearest-neighbour models of its residuals."""
-    split = _split(spark, sf)
-    fits = stored(models.arima_fits(split), "arima-fits")
-    return models.run_models(split, FEATURES, ["linear", "knn"], fits)
+    return models.run_models(_split(spark, sf), FEATURES, ["linear", "knn"]).where("model <> 'SARIMAX'")
 
 
 @query()
@@ -350,6 +520,55 @@ def fc_tree_stump(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(*KEY, "window", "lead", "ts_utc", "actual_mw", "forecast_mw", "model")
 
 
+def _sql_series_stump(name: str, rows: str, target: str) -> str:
+    """<name>(region_clean, window, f, v, low, high): the best single cut of a target over three features in each training window."""
+    unpivoted = f"""SELECT region_clean, "window", {target} AS y, unnest({_THREE!r}) AS f, unnest([{", ".join(_THREE)}]) AS v FROM {rows}"""
+    return f"""
+{name}_cells AS (SELECT region_clean, "window", f, v, sum(y) AS s, count(*) AS n FROM ({unpivoted}) GROUP BY ALL),
+{name}_cuts AS (
+  SELECT *, sum(s) OVER w AS left_s, sum(n) OVER w AS left_n, sum(s) OVER g AS all_s, sum(n) OVER g AS all_n, lead(v) OVER w AS next_v
+  FROM {name}_cells WINDOW w AS (PARTITION BY region_clean, "window", f ORDER BY v), g AS (PARTITION BY region_clean, "window", f)),
+{name} AS (
+  SELECT region_clean, "window", f, (v + next_v) / 2 AS v, left_s / left_n AS low, (all_s - left_s) / (all_n - left_n) AS high
+  FROM {name}_cuts WHERE left_n < all_n
+  QUALIFY row_number() OVER (PARTITION BY region_clean, "window"
+                             ORDER BY left_s * left_s / left_n + (all_s - left_s) * (all_s - left_s) / (all_n - left_n) DESC, f, v) = 1)"""
+
+
+def _sql_step(stump: str) -> str:
+    value = " ".join(f"WHEN {stump}.f = '{f}' THEN {f}" for f in _THREE)
+    return f"CASE WHEN (CASE {value} END) <= {stump}.v THEN {stump}.low ELSE {stump}.high END"
+
+
+@query(f"""WITH {SQL_TYPES_FEATURES},
+{_sql_series_stump("whole", "train", "y")},
+centred AS (SELECT *, y - avg(y) OVER (PARTITION BY region_clean, "window") AS e FROM train),
+{_sql_series_stump("one", "centred", "e")},
+after_one AS (SELECT centred.*, e - 0.1 * {_sql_step("one")} AS e2 FROM centred JOIN one USING (region_clean, "window")),
+{_sql_series_stump("two", "after_one", "e2")},
+levels AS (SELECT region_clean, "window", avg(y) AS level FROM train GROUP BY 1, 2),
+tests AS (SELECT * FROM split WHERE role = 'test')
+SELECT region_clean, "window", lead, ts_utc, consumption_mw AS actual_mw, {_sql_step("whole")} AS forecast_mw, 'random_forest' AS model
+FROM tests JOIN whole USING (region_clean, "window")
+UNION ALL
+SELECT region_clean, "window", lead, ts_utc, consumption_mw, level + 0.1 * {_sql_step("one")} + 0.1 * {_sql_step("two")}, 'gradient_boosting'
+FROM tests JOIN levels USING (region_clean, "window") JOIN one USING (region_clean, "window") JOIN two USING (region_clean, "window")""", rounded=_SHOWN)
+def fc_series_stumps(spark: SparkSession, sf: str) -> DataFrame:
+    """The trees of single series at their smallest: one cut without drawing rows, and two rounds of boosting with one cut each."""
+    split, found = _split(spark, sf), []
+    for name, predict in {
+        "random_forest": partial(trees.forest, trees=1, depth=1, bootstrap=False), "gradient_boosting": partial(trees.boosting, trees=2, depth=1),
+    }.items():
+        found.append(models.predicted(split, _THREE, predict).withColumn("model", F.lit(name)))
+    return found[0].unionByName(found[1])
+
+
+@query()
+def fc_series_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """100 trees of depth 15 and 100 rounds of depth 10 for each series and window."""
+    return models.run_models(_split(spark, sf), FEATURES, ["random_forest", "gradient_boosting"], orders=None)
+
+
 # Regions: results of four models that SQL can check and of all models, selection, complete series, views, reports.
 
 def _region_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -365,7 +584,7 @@ def _region_features(spark: SparkSession, sf: str) -> DataFrame:
 def _results(features: DataFrame) -> DataFrame:
     split = backtest.split_windows(features, GEOMETRY)
     forecasts = models.last_value_models(split).unionByName(models.seasonal_difference_model(split))
-    return stored(backtest.score(forecasts, split, GEOMETRY.horizons), "results")
+    return stored(backtest.score(forecasts, GEOMETRY), "results")
 
 
 def _complete(features: DataFrame, results: DataFrame) -> DataFrame:
@@ -418,13 +637,15 @@ def forecast_results(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def forecast_results_all(spark: SparkSession, sf: str) -> DataFrame:
     """Results of every model: all baselines, the ARIMA chain, and each model of the registry on its residuals (or direct where none fitted)."""
+    return _all_results(_region_features(spark, sf))
+
+
+def _all_results(features: DataFrame) -> DataFrame:
     measures = REGION_MEASURES[1:]
-    split = backtest.split_windows(_region_features(spark, sf), GEOMETRY)
-    fits = stored(models.arima_fits(split, measures), "arima-fits")
-    chain = models.arima(split, measures).drop("fit_ok", "arima_order")
-    modelled = models.run_models(split, [*measures, *FEATURES], tuple(models.REGISTRY), fits)
-    forecasts = models.baselines(split).unionByName(chain).unionByName(modelled)
-    return stored(backtest.score(forecasts, split, GEOMETRY.horizons), "results")
+    split = backtest.split_windows(features, GEOMETRY)
+    modelled = models.run_models(split, [*measures, *FEATURES], tuple(models.REGISTRY), measures)
+    forecasts = stored(models.baselines(split).unionByName(modelled), "all-forecasts")
+    return backtest.score(forecasts, GEOMETRY)
 
 
 @query(f"WITH {SQL_RESULTS} SELECT region_clean, horizon, model, mae, rmse, forecasts FROM best", rounded=["mae", "rmse"])

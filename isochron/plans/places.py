@@ -38,7 +38,9 @@ SQL_CUSTOMER_NAMES = f"raw_names AS (SELECT c_custkey, {inputs.sql_pick(inputs.S
 WITH {SQL_CUSTOMER_NAMES}, {SQL_MAP}
 SELECT c_custkey, region, region_canon, region_clean FROM mapped WHERE region_canon IN (SELECT canon FROM regions)""")
 def map_region(spark: SparkSession, sf: str) -> DataFrame:
-    return regions.only_regions(regions.add_regions(_customer_names(spark, sf)))
+    rows = _customer_names(spark, sf)
+    names = regions.by_name(rows, "region", lambda n: regions.only_regions(regions.add_regions(n)))
+    return rows.join(names, "region").select("c_custkey", "region", "region_canon", "region_clean")
 
 
 _SPELLED = REGION_ALIASES + EXTRA_SPELLINGS
@@ -70,7 +72,8 @@ WITH {SQL_CUSTOMER_NAMES}, {SQL_HARMONIZED}
 SELECT c_custkey, region, region_clean FROM raw_names JOIN harmonized USING (region)""")
 def harmonize_region(spark: SparkSession, sf: str) -> DataFrame:
     rows = _customer_names(spark, sf)
-    return regions.harmonize(rows.withColumn("region_clean", F.col("region")))
+    names = regions.by_name(rows, "region", lambda n: regions.harmonize(n.withColumn("region_clean", F.col("region"))))
+    return rows.join(names, "region").select("c_custkey", "region", "region_clean")
 
 
 @query(f"""
@@ -86,7 +89,7 @@ def nonstandard_names(spark: SparkSession, sf: str) -> DataFrame:
         inputs.pick(inputs.SPELLINGS, F.col("s_suppkey") * 2 + 1).alias("region_clean")
     )
     nations = inputs.table(spark, sf, "nation").select(F.col("n_name").alias("region_clean"))
-    return regions.nonstandard_names(*[regions.harmonize(t) for t in (customers, suppliers, nations)])
+    return regions.nonstandard_names(*[regions.by_name(t, "region_clean", regions.harmonize) for t in (customers, suppliers, nations)])
 
 
 SQL_CITY_MAP = f"""
@@ -202,3 +205,32 @@ def ensure_timestamp(spark: SparkSession, sf: str) -> DataFrame:
     for other in found[1:]:
         out = out.unionByName(other)
     return out
+
+
+SQL_LOCAL = "(o_orderdate + INTERVAL 1 HOUR * (CASE WHEN o_orderkey % 24 = 2 THEN 3 ELSE o_orderkey % 24 END))"
+
+
+@query(f"""
+WITH clocks AS (SELECT *, {SQL_LOCAL} AS wall, o_orderkey % 5 AS way FROM orders),
+chosen AS (
+  SELECT 'demand' AS side, o_orderkey, CASE way WHEN 0 THEN o_orderdate WHEN 1 THEN o_orderdate + INTERVAL 1 DAY
+           WHEN 2 THEN (wall AT TIME ZONE 'Europe/Paris') AT TIME ZONE 'UTC' WHEN 3 THEN o_orderdate + INTERVAL 2 DAY ELSE NULL END AS ts_utc,
+         CASE WHEN way = 2 THEN wall END AS given FROM clocks
+  UNION ALL SELECT 'weather', o_orderkey, CASE WHEN way = 4 THEN TIMESTAMP '2000-01-01' ELSE o_orderdate END, NULL FROM clocks)
+SELECT side, o_orderkey, ts_utc, coalesce(given, (ts_utc AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Paris') AS ts_paris FROM chosen""")
+def ensure_timestamp_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that know their time in different ways, mixed in one table: an hour in UTC, a time in UTC, a local time, a text, or none; and a
+    table with a clock in nanoseconds only."""
+    orders, way = inputs.table(spark, sf, "orders"), F.col("o_orderkey") % 5
+    placed = F.col("o_orderdate").cast("timestamp")
+    hour = F.when(F.col("o_orderkey") % 24 == 2, 3).otherwise(F.col("o_orderkey") % 24)
+    later = lambda days: placed + F.expr(f"INTERVAL '{days}' DAY")
+    demand = orders.select(
+        F.lit("demand").alias("side"), "o_orderkey", F.when(way == 0, placed).alias("ts_hour_utc"),
+        F.when(way <= 1, later(1)).alias("ts_utc"), F.when(way == 2, F.timestamp_add("HOUR", hour.cast("int"), placed)).alias("ts_paris"),
+        F.when(way == 4, "no date").when(way == 3, F.date_format(later(2), "yyyy-MM-dd HH:mm:ss")).alias("update_date"),
+    )
+    weather = orders.select(F.lit("weather").alias("side"), "o_orderkey", F.when(way != 4, F.unix_micros(placed) * 1000).alias("date"))
+    columns = ["side", "o_orderkey", "ts_utc", "ts_paris"]
+    found = merge.recover_timestamps(weather, stamp=F.lit("2000-01-01").cast("timestamp")).select(*columns)
+    return merge.recover_timestamps(demand).select(*columns).unionByName(found)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from isochron.plans import inputs
 from isochron.plans.registry import query
 from isochron.session import fresh_path
-from isochron.sources import tables
+from isochron.sources import delimited, tables
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
@@ -63,3 +63,37 @@ def sample_rows(spark: SparkSession, sf: str) -> DataFrame:
     tables.write_sample(inputs.table(spark, sf, "part"), target)
     sample = spark.read.option("header", True).csv(target)
     return sample.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(sample.columns)).cast("long"))
+
+
+@query("""
+SELECT ['Bretagne', 'Corse', 'Normandie'][c_nationkey % 3 + 1] AS region, c_custkey::VARCHAR AS number, c_name || ' é;"' AS perimetre,
+       c_acctbal AS consommation_mw, CASE WHEN c_nationkey % 3 < 2 THEN c_mktsegment END AS segment,
+       CASE WHEN c_nationkey % 3 = 2 THEN c_nationkey::DOUBLE END AS solaire_mw,
+       ['Bretagne_encours_mensuel.zip', 'Corse_encours_mensuel.zip', 'Normandie.xls'][c_nationkey % 3 + 1] AS zip_name, true AS has_member
+FROM customer""", rounded=["consommation_mw", "solaire_mw"])
+def delimited_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers written in three dialects and read as one table: semicolons in UTF-8, tabs in Latin-1 under other spellings of the headers, and
+    quoted lines whose whole header sits in one cell. Folders carry the archives' names; cells hold separators, quotes and decimal commas."""
+    customers = inputs.table(spark, sf, "customer")
+    number, name = F.col("c_custkey").cast("string"), F.concat("c_name", F.lit(' é;"'))
+    balance, kind = F.translate(F.col("c_acctbal").cast("string"), ".", ","), F.col("c_nationkey") % 3
+    target = fresh_path(spark, "customer-files")
+
+    def write(rows: DataFrame, folder: str, **options) -> None:
+        rows.write.options(header=True, escape='"', **options).csv(f"{target}/{folder}")
+
+    write(
+        customers.where(kind == 0).select(number.alias("Date"), name.alias("Périmètre"), balance.alias(" Consommation "), F.col("c_mktsegment").alias("Segment")),
+        "Bretagne_encours_mensuel.zip", sep=";",
+    )
+    write(
+        customers.where(kind == 1).select(F.col("c_mktsegment").alias("Segment"), balance.alias("Consommation"), name.alias("Périmètre géographique"), number.alias("Date")),
+        "Corse_encours_mensuel.zip", sep="\t", encoding="ISO-8859-1",
+    )
+    packed = F.concat_ws("\t", number, name, balance, F.col("c_nationkey").cast("string"))
+    write(customers.where(kind == 2).select(packed.alias("Date\tPérimetre\tConsommation\tSolaire")), "Normandie.xls", sep=";", quoteAll=True)
+    found = delimited.demand_table(spark, f"{target}/*", archives=True)
+    return found.select(
+        "region", F.col("date").alias("number"), "perimetre", "consommation_mw", F.element_at("other", F.lit("Segment")).alias("segment"), "solaire_mw", "zip_name",
+        F.startswith("zip_member", F.lit("part-")).alias("has_member"),
+    )

@@ -72,7 +72,8 @@ def fill_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return panel.fill_gaps(dense, KEY, ["consumption_mw"]).select(*KEY, "ts_utc", "consumption_mw")
 
 
-_HISTORY = ["consommation_mw", "consommation_lag24", "consommation_lag168", "consommation_roll168", "hour_sin", "hour_cos"]
+_SILVER = ["consommation_mw", *inputs.WIDE.values()]
+_HISTORY = [*_SILVER, "consommation_lag24", "consommation_lag168", "consommation_roll168", "hour_sin", "hour_cos"]
 SQL_DENSE_DEMAND = """
 demand_spine AS (
   SELECT region_clean, unnest(generate_series(min(ts_utc), max(ts_utc), INTERVAL 1 HOUR)) AS ts_utc FROM demand GROUP BY 1),
@@ -81,23 +82,27 @@ dense_demand AS (SELECT s.region_clean, s.ts_utc, d.* EXCLUDE (region_clean, ts_
 
 
 @query(f"""
-WITH {inputs.SQL_REGION_DEMAND}, {SQL_DENSE_DEMAND},
+WITH demand AS (
+  SELECT {inputs.sql_pick(inputs.LABELS, "user_id")} AS region_clean, date_trunc('hour', ts) AS ts_utc, avg(value) AS consommation_mw,
+         {", ".join(f"avg(value) FILTER (event_type = '{t}') AS {m}" for t, m in inputs.WIDE.items())}
+  FROM events GROUP BY 1, 2), {SQL_DENSE_DEMAND},
 timed AS (SELECT *, (ts_utc AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Paris' AS ts_paris,
                  lag(consommation_mw, 24) OVER w AS consommation_lag24, lag(consommation_mw, 168) OVER w AS consommation_lag168,
                  avg(consommation_mw) OVER (w ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) AS consommation_roll168
           FROM dense_demand WINDOW w AS (PARTITION BY region_clean ORDER BY ts_utc))
-SELECT region_clean, ts_utc, ts_paris, consommation_mw, hour(ts_paris)::INT AS hour, (dayofweek(ts_paris) + 1)::INT AS dow,
+SELECT region_clean, ts_utc, ts_paris, {", ".join(_SILVER)}, hour(ts_paris)::INT AS hour, (dayofweek(ts_paris) + 1)::INT AS dow,
        weekofyear(ts_paris)::INT AS week, month(ts_paris)::INT AS month, dayofyear(ts_paris)::INT AS doy,
        (dayofweek(ts_paris) IN (0, 6))::INT AS is_weekend, sin(2 * pi() * hour(ts_paris) / 24) AS hour_sin,
        cos(2 * pi() * hour(ts_paris) / 24) AS hour_cos, consommation_lag24, consommation_lag168, consommation_roll168
 FROM timed""", rounded=_HISTORY)
 def demand_silver(spark: SparkSession, sf: str) -> DataFrame:
-    """The hourly demand table: means per region and hour, calendar, cyclic hour, lags and the week's trailing mean."""
-    demand = stored(inputs.region_demand(spark, sf).select(*KEY, "ts_utc", "consommation_mw"), "demand")
-    history = panel.demand_history(panel.densify(demand, KEY), KEY)
-    parts = ["hour", "dow", "week", "month", "doy", "is_weekend"]
-    timed = panel.add_cyclic(panel.add_calendar(history, only=parts), hour=24)
-    return timed.drop("idx", "n_rows", "observed")
+    """The hourly demand table: means of all measures per region and hour, calendar, cyclic hour, lags and the week's trailing mean."""
+    of_type = {m: F.when(F.col("event_type") == t, F.col("value")) for t, m in inputs.WIDE.items()}
+    rows = inputs.events(spark, sf).select(
+        inputs.pick(inputs.LABELS, F.col("user_id")).alias("region_clean"), "ts", F.col("value").alias("consommation_mw"),
+        *[value.alias(name) for name, value in of_type.items()],
+    )
+    return silver.add_demand_features(stored(panel.mean_by_step(rows, KEY, "ts", _SILVER), "demand"))
 
 
 SQL_WEATHER = f"""

@@ -1,20 +1,22 @@
-"""Delimited text of unknown dialect: detection per file as a Spark aggregation, then one scan parsed by layout."""
+"""Delimited text of unknown dialect: detection per file as a Spark aggregation, then one scan in which each line is parsed by its file's layout."""
 
 from __future__ import annotations
 
-import csv
-
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isochron.fixed_values import HEADER_SYNONYMS
+from isochron.functions.binding import literal
 from isochron.functions.clock import local_to_utc, parse_local_day_first, utc_to_local
 from isochron.functions.numeric import coerce_numeric
-from isochron.operators.shape import clean_names, lead_with
+from isochron.operators.shape import lead_with
 from isochron.session import stored
 
 # Delimiters in order of preference, and the encodings of valid and invalid UTF-8 files.
 DELIMITERS = ["\t", ";", "|", ","]
 ENCODINGS = ("UTF-8", "ISO-8859-1")
+# Columns of a loaded table: what known header spellings stand for.
+KNOWN = list(dict.fromkeys(HEADER_SYNONYMS.values()))
 # Windows files read as Latin-1 hold control codes where code page 1252 has letters and quotes.
 CONTROLS = "".join(map(chr, range(0x80, 0xA0)))
 WINDOWS = bytes(range(0x80, 0xA0)).decode("cp1252", errors="replace")
@@ -71,47 +73,91 @@ def _decoded(text: Column, encoding: Column) -> Column:
     return F.when(encoding == ENCODINGS[1], latin).otherwise(text)
 
 
-def _fields(layout: Row, parsed: Column) -> dict[str, Column]:
-    """Column name -> field of a parsed line; a name packed with tabs stands for several fields."""
-    fields = {}
-    for i, name in enumerate(next(csv.reader([layout["head"]], delimiter=layout["separator"]))):
-        cell, parts = parsed[f"c{i}"], name.split("\t")
-        for j, part in enumerate(clean_names(parts)):
-            if part:
-                fields[part] = F.get(F.split(cell, "\t"), F.lit(j)) if len(parts) > 1 else cell
-    return fields
+def cells(text: Column, separator: Column) -> Column:
+    """The cells of a line; an empty cell is null. A cell in quotes may hold separators, and a doubled quote stands for one.
+
+    Each of the known separators has a pattern that consumes the separator before a cell, so lines are cut in one pass.
+    """
+    found = F.array().cast("array<string>")
+    for d in DELIMITERS:
+        pattern = f'{_escaped(d)}("[^"]*+(?:""[^"]*+)*+"[^{_escaped(d)}]*+|[^{_escaped(d)}]*+)'
+        found = F.when(separator == d, F.regexp_extract_all(F.concat(F.lit(d), text), F.lit(pattern), F.lit(1))).otherwise(found)
+    quoted = r'(?s)^"([^"]*+(?:""[^"]*+)*+)"(.*)$'
+    bare = F.transform(found, lambda c: F.when(F.rlike(c, F.lit(quoted)), F.concat(
+        F.replace(F.regexp_extract(c, quoted, 1), F.lit('""'), F.lit('"')), F.regexp_extract(c, quoted, 2)
+    )).otherwise(c))
+    return F.transform(bare, lambda c: F.when(c != "", c))
+
+
+def clean_name(name: Column) -> Column:
+    """clean_names as an expression: white space around and within a name, byte order mark, known spellings."""
+    spaced = F.regexp_replace(F.regexp_replace(name, "^\ufeff", ""), r"(?U)[\s&&[^\t]]+", " ")
+    trimmed = F.regexp_replace(spaced, r"(?U)^\s+|\s+$", "")
+    return F.coalesce(F.element_at(literal(HEADER_SYNONYMS, "map<string, string>"), trimmed), trimmed)
 
 
-def load(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All files as one table of texts with region, zip_member and zip_name from their file names.
+def layouts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """One row per file: path, separator, encoding, head (its first line), places and others.
 
-    After the detection all files are read in one scan: each line is joined to its file's layout and parsed by it. Only
-    the distinct layouts (separator, encoding, header) come to the driver, never lists of files.
+    A place is (cell, part): the cell's number in a line, and the part of it where a header name is packed with tabs, else null. `places` maps a
+    known column to its places in order; `others` holds the other names of the header with theirs.
     """
-    known = dialects(spark, paths)
     lines = spark.read.text(paths).select(_path(), "value", F.col("_metadata.file_block_start").alias("start"))
     placed = lines.withColumn("at", F.monotonically_increasing_id()).where(F.trim("value") != "")
     heads = placed.groupBy("path").agg(F.min_by("value", F.struct("start", "at")).alias("head"))
-    files = stored(
-        known.join(heads, "path").withColumn("head", _decoded(F.col("head"), F.col("encoding"))), "file-layouts"
-    )
-    layouts = files.select("separator", "encoding", "head").distinct().orderBy("head", "separator").collect()
-
-    rows = lines.join(files, "path").withColumn("text", _decoded(F.col("value"), F.col("encoding")))
-    rows = rows.where((F.trim("text") != "") & (F.col("text") != F.col("head")))
-    parsed, columns = {}, {}
-    for i, layout in enumerate(layouts):
-        width = len(next(csv.reader([layout["head"]], delimiter=layout["separator"])))
-        mine = (F.col("head") == layout["head"]) & (F.col("separator") == layout["separator"])
-        schema = ", ".join(f"c{j} string" for j in range(width))
-        parsed[f"_p{i}"] = F.when(mine, F.from_csv("text", F.lit(schema), {"sep": layout["separator"]}))
-        for name, field in _fields(layout, F.col(f"_p{i}")).items():
-            columns.setdefault(name, []).append(field)
-    table = rows.withColumns(parsed | {"zip_name": F.element_at(F.split("path", "/"), -1)})
-    return table.select(
-        region_of(F.col("zip_name")).alias("region"),
-        *[F.coalesce(*fields).alias(name) for name, fields in columns.items()],
-        F.col("zip_name").alias("zip_member"), "zip_name",
+    files = dialects(spark, paths).join(heads, "path").withColumn("head", _decoded(F.col("head"), F.col("encoding")))
+
+    def parts(cell: Column, i: Column) -> Column:
+        packed = F.contains(cell, F.lit("\t"))
+        return F.transform(F.split(F.coalesce(cell, F.lit("")), "\t"), lambda part, j: F.struct(
+            clean_name(part).alias("name"), F.struct(i.alias("cell"), F.when(packed, j).alias("part")).alias("place")
+        ))
+
+    fields = F.filter(F.flatten(F.transform(cells(F.col("head"), F.col("separator")), parts)), lambda f: f["name"] != "")
+    named = files.withColumn("_fields", fields)
+    known = literal(KNOWN, "array<string>")
+    own = F.array_distinct(F.transform("_fields", lambda f: f["name"]))
+    places = F.map_from_entries(F.transform(F.array_intersect(own, known), lambda name: F.struct(
+        name, F.transform(F.filter("_fields", lambda f: f["name"] == name), lambda f: f["place"])
+    )))
+    others = F.filter("_fields", lambda f: ~F.array_contains(known, f["name"]))
+    return named.select("path", "separator", "encoding", "head", places.alias("places"), others.alias("others"))
+
+
+def _cell(line: Column, place: Column) -> Column:
+    whole = F.get(line, place["cell"])
+    return F.when(place["part"].isNull(), whole).otherwise(F.nullif(F.get(F.split(whole, "\t"), place["part"]), F.lit("")))
+
+
+def _first(values: Column) -> Column:
+    return F.get(F.filter(values, lambda v: v.isNotNull()), F.lit(0))
+
+
+def load(spark: SparkSession, paths: str | list[str], archives: bool = False) -> DataFrame:
+    """All files as one table of texts: region, the known columns, `other` (a map of all further headers), zip_member and zip_name.
+
+    Layouts are rows, not plans: a line meets its file's layout in a join, is cut by its separator, and each column looks its cells up in
+    the layout's map. So the plan is the same for any number of layouts and files, and nothing comes to the driver. Of several headers
+    that mean the same column the first with a value counts. With `archives` files lie in folders that carry their archives' names, and those give
+    zip_name and the region.
+    """
+    files = stored(layouts(spark, paths), "file-layouts")
+    lines = spark.read.text(paths).select(_path(), "value").join(files, "path").withColumn("text", _decoded(F.col("value"), F.col("encoding")))
+    lines = lines.where((F.trim("text") != "") & (F.col("text") != F.col("head")))
+    cut = lines.withColumn("_line", cells(F.col("text"), F.col("separator")))
+    line = F.col("_line")
+
+    def column(name: str) -> Column:
+        return _first(F.transform(F.element_at("places", F.lit(name)), lambda place: _cell(line, place))).alias(name)
+
+    given = F.filter(F.transform("others", lambda f: F.struct(f["name"].alias("key"), _cell(line, f["place"]).alias("value"))), lambda e: e["value"].isNotNull())
+    names = F.array_distinct(F.transform(given, lambda e: e["key"]))
+    other = F.map_from_entries(F.transform(names, lambda n: F.struct(n, _first(F.transform(F.filter(given, lambda e: e["key"] == n), lambda e: e["value"])))))
+    parts = F.split("path", "/")
+    member, archive = F.element_at(parts, -1), F.element_at(parts, -2 if archives else -1)
+    return cut.select(
+        region_of(archive).alias("region"), *[column(name) for name in KNOWN], other.alias("other"),
+        member.alias("zip_member"), archive.alias("zip_name"),
     )
 
 
@@ -123,6 +169,6 @@ def add_local_timestamp(df: DataFrame) -> DataFrame:
     return df.withColumn("ts_local", utc_to_local(instant))
 
 
-def demand_table(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def demand_table(spark: SparkSession, paths: str | list[str], archives: bool = False) -> DataFrame:
     """Loaded files with clean headers, timestamps, numeric measures and leading columns first."""
-    return lead_with(coerce_numeric(add_local_timestamp(load(spark, paths))))
+    return lead_with(coerce_numeric(add_local_timestamp(load(spark, paths, archives))))

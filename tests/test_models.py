@@ -142,10 +142,15 @@ def test_hybrid_names_and_falls_back(spark):
 
 def test_scores_and_complete_series(spark):
     split = split_of(spark, {"a": daily(126)})
-    results = backtest.score(models.last_value_models(split), split, SMALL.horizons).cache()
+    results = backtest.score(models.last_value_models(split), SMALL).cache()
     assert results.count() == 3 * sum(SMALL.horizons)
     row = results.where("model = 'baseline_naive' AND horizon = 6 AND lead = 6").first()
     assert row["test_start"] == row["ts_utc"] - dt.timedelta(hours=5) and row["mae"] == row["rmse"] and row["is_baseline"]
+    assert row["train_start"] == START and row["train_end"] == START + dt.timedelta(hours=95)
+    wide = Geometry(train=96, step=24, horizons=[2], expanding=True)
+    later = split_of(spark, {"a": daily(200)}, wide)
+    scored = backtest.score(models.last_value_models(later), wide).where("window = 2").select("train_start", "train_end").distinct().collect()
+    assert [tuple(r) for r in scored] == [(START, START + dt.timedelta(hours=96 + 48 - 1))]
     actual = split.where("role = 'train'").select("region_clean", "ts_utc", "consumption_mw")
     complete = backtest.complete_series(actual, results)
     long, short = backtest.split_horizons(complete)
@@ -194,6 +199,34 @@ def test_tree_queries_run_the_whole_models(monkeypatch):
     assert isinstance(boosting, GBTRegressor) and (boosting.getMaxIter(), boosting.getMaxDepth()) == (100, 10)
 
 
+def test_one_pass_gives_the_rows_of_single_models(spark):
+    rng = np.random.default_rng(6)
+    split = split_of(spark, {"a": daily(150), "b": rng.normal(50, 5, 150)})
+    split = panel.add_cyclic(split.withColumn("hour", F.hour("ts_utc")), hour=24)
+    features, orders = ["hour", "hour_sin", "hour_cos"], [(0, 1, 0, 0, 1, 0)]
+    direct = models.run_models(split, features, ["linear", "knn"], orders=None)
+    chained = models.run_models(split, features, ["linear", "knn"], orders=orders)
+    fits = models.arima_fits(split, orders=orders)
+    singles = {"linear": models.linear, "knn": models.knn}
+    for name, model in singles.items():
+        np.testing.assert_allclose(frame(direct.where(F.col("model") == name))["forecast_mw"], frame(model(split, features))["forecast_mw"])
+        expected = models.hybrid(split, fits, lambda part, model=model: model(part, features))
+        found = frame(chained.where(F.col("model") == f"SARIMAX_{name}"))
+        np.testing.assert_allclose(found["forecast_mw"], frame(expected)["forecast_mw"])
+        assert found["sarimax_baseline_used"].all()
+    chain = frame(chained.where("model = 'SARIMAX'"))
+    np.testing.assert_allclose(chain["forecast_mw"], frame(models.arima(split, orders=orders))["forecast_mw"])
+    assert chained._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(region_clean#") == direct._jdf.queryExecution(
+        ).executedPlan().toString().count("Exchange hashpartitioning(region_clean#")
+
+
+def test_one_pass_without_an_order_that_fits(spark):
+    short = Geometry(train=40, step=24, horizons=[8], max_windows=1)
+    found = frame(models.run_models(split_of(spark, {"a": range(48)}, short), ["idx"], ["linear"]))
+    assert set(found["model"]) == {"SARIMAX", "linear"} and not found["sarimax_baseline_used"].any()
+    np.testing.assert_allclose(found[found["model"] == "linear"]["forecast_mw"], range(40, 48))
+
+
 def test_results_hold_every_model(spark, small_dir, monkeypatch):
     import inspect
     from functools import partial

@@ -42,6 +42,65 @@ def test_demand_table(spark, files):
     assert rows["Corse", "28.10.2024"]["solaire_mw"] == 1.5
 
 
+def test_unknown_headers_quotes_and_doubled_columns(spark, tmp_path):
+    lines = ['Date;Heures;Weather  note;Eolien;Éolien;Weather note', '01/07/2024;00:00;"a;b ""c""";;5;', '02/07/2024;00:00;plain;4;5;second', '03/07/2024;01:00', ';;;;;']
+    (tmp_path / "zip one").mkdir()
+    (tmp_path / "zip one" / "x.csv").write_text("\ufeff" + "\n".join(lines))
+    (tmp_path / "zip one" / "empty.csv").write_text("")
+    found = {r["date"]: r for r in delimited.load(spark, str(tmp_path / "*"), archives=True).collect()}
+    assert set(found) == {"01/07/2024", "02/07/2024", "03/07/2024", None}
+    first, second, third = (found[f"0{i}/07/2024"] for i in (1, 2, 3))
+    assert first["other"] == {"Weather note": 'a;b "c"'} and second["other"] == {"Weather note": "plain"} and third["other"] == {}
+    assert (first["eolien_mw"], second["eolien_mw"], third["eolien_mw"]) == ("5", "4", None)
+    assert third["heure"] == "01:00" and first["zip_name"] == "zip one" and first["zip_member"] == "x.csv" and first["region"] == "zip one"
+
+
+def test_names_as_an_expression_equal_clean_names(spark):
+    names = [" Date ", "\ufeffHeures", "Taux\u00a0de  Co2", "Éolien\u2003offshore", "x\ty", "", " free  text "]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    assert [r[0] for r in df.select(delimited.clean_name(F.col("n"))).collect()] == shape.clean_names(names)
+
+
+@pytest.mark.parametrize("separator", delimited.DELIMITERS)
+def test_cells_equal_the_csv_module(spark, separator):
+    import csv
+
+    lines = ["a,b", "", "|;,\t", '"x|;,\ty"|1;2,3\t4', '"say ""hi""",a;b|c\td', "a||;;,,\t\tb", "é;漢|ü,\t"]
+    df = spark.createDataFrame([(x,) for x in lines], "t string")
+    found = [r[0] for r in df.select(delimited.cells(F.col("t"), F.lit(separator))).collect()]
+    for line, got in zip(lines, found, strict=True):
+        expected = next(csv.reader([line], delimiter=separator), []) or [""]
+        assert got == [c or None for c in expected]
+
+
+def test_the_plan_does_not_grow_with_layouts(spark, files, tmp_path):
+    one = str(tmp_path / "one")
+    os.mkdir(one)
+    with open(f"{one}/x.csv", "w") as out:
+        out.write("Date;Heures\n1;2\n")
+
+    def nodes(path):
+        return delimited.load(spark, path)._jdf.queryExecution().analyzed().toString().count("\n")
+
+    assert nodes(one) == nodes(files)
+
+
+def test_timestamps_are_recovered_row_by_row(spark):
+    t = dt.datetime(2024, 3, 31, 0, 30)
+    rows = [
+        (t, t + dt.timedelta(hours=5), None, None, None), (None, t, t, None, None), (None, None, dt.datetime(2024, 7, 1, 2), None, None),
+        (None, None, dt.datetime(2024, 10, 27, 2, 30), "2024-01-01", None), (None, None, None, "2024-01-02 03:04:05", 1), (None, None, None, "junk", 1704067200000),
+        (None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "ts_hour_utc timestamp, ts_utc timestamp, ts_paris timestamp, day_date string, at_time bigint")
+    found = [r["ts_utc"] for r in merge.recover_timestamps(df, overlap="null").collect()]
+    assert found == [t, t, dt.datetime(2024, 7, 1, 0), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 1), None]
+    only = merge.recover_timestamps(df.select("day_date"), stamp=F.lit("2000-01-01").cast("timestamp")).collect()
+    assert [r["ts_utc"] for r in only][3:] == [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2000, 1, 1), dt.datetime(2000, 1, 1)]
+    assert only[3]["ts_paris"] == dt.datetime(2024, 1, 1, 1)
+    assert merge.recover_timestamps(spark.range(1)).first()["ts_utc"] is None
+
+
 def test_headers_and_packed_columns(spark):
     df = spark.createDataFrame([("1\t2", "x")], T.StructType.fromDDL("`Date\tSolaire` string, ` Éolien  offshore ` string"))
     found = shape.clean_headers(shape.split_all_packed(df))

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from isochron.streaming import hourly
@@ -112,3 +113,90 @@ def test_windowed_means_drop_late_rows(spark, tmp_path):
         "checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     assert hours(spark.read.parquet(out)) == {("a", 0): (2.0, 2)}
+
+
+def folders(path, prefix):
+    return sorted(d for d in os.listdir(path) if d.startswith(prefix))
+
+
+def test_versions_that_no_manifest_names_are_removed(spark, tmp_path):
+    source, fact, checkpoint = (str(tmp_path / d) for d in ("in", "fact", "checkpoint"))
+    expected = {}
+    for i in range(10):  # every batch reaches day 0 and a day of its own
+        add_file(spark, source, [("a", 10, i), ("a", 1440 * (i + 1) + 5, i)])
+        stream = hourly.file_stream(spark, source, SCHEMA)
+        hourly.run_upserts(stream, KEYS, "ts", "value", fact, checkpoint)
+        expected[("a", 24 * (i + 1))] = (float(i), 1)
+    expected[("a", 0)] = (4.5, 10)
+    assert hours(hourly.read_upserted(stream, KEYS, fact, "value")) == expected
+    kept = [f"{v}/{d}" for v in folders(f"{fact}/days", "version=") for d in folders(f"{fact}/days/{v}", "day=")]
+    assert len(kept) == 10 + 2  # a version for each day, and the one before for day 0
+    assert folders(f"{fact}/manifests", "batch=") == folders(f"{fact}/sums", "batch=") == ["batch=8", "batch=9"]
+
+
+def test_a_batch_that_broke_off_before_its_manifest_is_not_seen(spark, tmp_path, monkeypatch):
+    source, fact, checkpoint = (str(tmp_path / d) for d in ("in", "fact", "checkpoint"))
+
+    def run():
+        stream = hourly.file_stream(spark, source, SCHEMA)
+        hourly.run_upserts(stream, KEYS, "ts", "value", fact, checkpoint)
+        return stream
+
+    add_file(spark, source, [("a", 10, 1), ("a", 1450, 2)])
+    stream = run()
+    add_file(spark, source, [("a", 20, 3)])
+
+    def boom(*_):
+        raise RuntimeError("broke off")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(hourly, "write_manifest", boom)
+        with pytest.raises(Exception, match="broke off"):
+            run()
+    assert "version=1" in folders(f"{fact}/days", "version=")
+    before = {("a", 0): (1.0, 1), ("a", 24): (2.0, 1)}
+    assert hours(hourly.read_upserted(stream, KEYS, fact, "value")) == before
+    run()
+    assert hours(hourly.read_upserted(stream, KEYS, fact, "value")) == before | {("a", 0): (2.0, 2)}
+
+
+def test_windows_count_late_rows(spark, tmp_path, small_dir):
+    source = str(tmp_path / "in")
+    events = write_newest_first(spark, small_dir, source)
+    total = events.count()
+
+    def run(lateness, name):
+        stream = hourly.file_stream(spark, source, SCHEMA, files_per_batch=1)
+        counts = hourly.run_windows(stream, KEYS, "ts", "value", lateness, str(tmp_path / name), str(tmp_path / f"{name}-checkpoint"))
+        return counts, hourly.read_windows(stream, str(tmp_path / name), KEYS, "value").withColumn("value", F.round("value", 6))
+
+    (read, late), found = run("400 days", "patient")
+    batch = batch_result(events)
+    assert (read, late) == (total, 0) and found.exceptAll(batch).count() == 0 and batch.exceptAll(found).count() == 0
+    (read, late), found = run("1 hour", "strict")
+    assert read == total and late > 0 and found.agg(F.sum("n")).first()[0] < batch.agg(F.sum("n")).first()[0]
+
+
+def test_probes_of_batches_and_micro_batches(spark, tmp_path):
+    from isochron.operators import probes
+
+    source, base = str(tmp_path / "in"), str(tmp_path / "probes")
+    log = probes.Probes(spark, "first")
+    add_file(spark, source, [("a", 10, 1), ("b", 20, None)])
+    add_file(spark, source, [("a", 30, None), ("a", 40, None), ("c", 50, 2)])
+    stream = log.watch(hourly.file_stream(spark, source, SCHEMA, files_per_batch=1), "arrived", "value")
+    with log.listening():
+        hourly.run_sums(stream, KEYS, "ts", "value", str(tmp_path / "log"), str(tmp_path / "checkpoint"))
+    rows = spark.read.schema(SCHEMA).parquet(source)
+    stored = log.write(log.watch(rows, "read", "value", "ts").where("value IS NOT NULL"), str(tmp_path / "out"), "kept", "value")
+    assert stored.count() == 2
+    log.store(base)
+    log.store(base)  # repeated: replaced
+    other = probes.Probes(spark, "second")
+    other.write(rows.where("value > 99"), str(tmp_path / "none"), "none", "value")
+    other.store(base)
+    found = {(r["run"], r["step"], r["batch"]): (r["rows"], r["nulls"]) for r in probes.read(spark, base).collect()}
+    batches = {k[2]: v for k, v in found.items() if k[1] == "arrived"}
+    assert sorted(v[0] for v in batches.values()) == [2, 3] and sorted(v[1]["value"] for v in batches.values()) == [1, 2]
+    assert found["first", "read", None] == (5, {"value": 3, "ts": 0}) and found["first", "kept", None] == (2, {"value": 0})
+    assert found["second", "none", None] == (0, {"value": 0}) and len(found) == 5
