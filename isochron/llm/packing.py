@@ -10,6 +10,7 @@ their length, which a window over (length, salt) gives without any group larger
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from isochron.llm import tokens
 
-SALTS = 64
+# Rows of one length that are ranked in one group.
+SALT_ROWS = 50_000
 PIECES = "piece int, start bigint, length bigint, ids binary"
 
 
@@ -205,22 +207,30 @@ def slots(bins: Sequence[Bins]) -> dict[int, Slots]:
 # -- Placing the pieces --------------------------------------------------------------------------------------------------
 
 
-def pack(pieces: DataFrame, capacity: int, key: Sequence[str] = ("doc_id", "piece"), salts: int = SALTS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, key: Sequence[str] = ("doc_id", "piece"), salt_rows: int = SALT_ROWS) -> DataFrame:
     """All columns of `pieces` (length of 1 to capacity in each row), plus sequence_id and offset.
 
     Offsets within a sequence are gapless from 0. Pieces of one length are interchangeable, so repeated rows are placed like
-    any others; an empty table gives an empty result. Columns named sequence_id or offset are replaced.
+    any others; an empty table gives an empty result. Columns named sequence_id or offset are replaced, all others stay, whatever their names. Ties in
+    `key` go by a hash of the whole row.
 
-    The counts per (length, salt) come to the driver: at most capacity * salts numbers, whatever the size of the table.
+    Pieces of a length are ranked in as many salts as leave each about `salt_rows` rows, so no group grows with the table. The counts per
+    (length, salt) come to the driver: at most capacity numbers and one for every salt_rows rows.
     """
-    salt = F.pmod(F.xxhash64(*key), F.lit(salts)).cast("int")
-    rows = pieces.drop("sequence_id", "offset").withColumn("_salt", salt)
-    found = rows.groupBy("length", "_salt").count().collect()
+    own = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    length = F.col("length").cast("long")
+    by_length = {r[0]: r[1] for r in pieces.groupBy(length.alias("length")).count().collect()}  # at most capacity rows
+    split = {str(n): -(-rows // salt_rows) for n, rows in by_length.items() if rows > salt_rows}
+    salts = F.coalesce(F.element_at(F.from_json(F.lit(json.dumps(split)), "map<string,int>"), length.cast("string")), F.lit(1))
+    salt = F.pmod(F.xxhash64(*key), salts).cast("int") if split else F.lit(0)
+    # The row travels as one value, so no name of its columns meets a name used here.
+    held = pieces.select(F.struct(*own).alias("row"), length.alias("length"), salt.alias("salt"))
+    found = held.groupBy("length", "salt").count().collect() if split else [(n, 0, rows) for n, rows in by_length.items()]
     counts: Counter[int] = Counter()
     before: dict[tuple[int, int], int] = {}
-    for length, s, n in sorted(tuple(r) for r in found):
-        before[length, s] = counts[length]
-        counts[length] += n
+    for n, s, rows in sorted(tuple(r) for r in found):
+        before[n, s] = counts[n]
+        counts[n] += rows
     places = slots(plan(counts, capacity))
 
     @F.pandas_udf("struct<sequence_id:bigint,offset:bigint>")
@@ -232,7 +242,7 @@ def pack(pieces: DataFrame, capacity: int, key: Sequence[str] = ("doc_id", "piec
             result[rows_of, 0], result[rows_of, 1] = places[n].place(ranks[rows_of], n)
         return pd.DataFrame(result, columns=["sequence_id", "offset"])
 
-    order = Window.partitionBy("length", "_salt").orderBy(*key)
-    ranked = rows.withColumn("_rank", F.row_number().over(order).cast("long") - 1)
-    placed = ranked.withColumn("_place", place(F.col("length").cast("long"), "_salt", "_rank"))
-    return placed.select(*[c for c in rows.columns if c != "_salt"], "_place.sequence_id", "_place.offset")
+    order = Window.partitionBy("length", "salt").orderBy(*[F.col("row").getField(k) for k in key], F.xxhash64("row"))
+    ranked = held.withColumn("rank", F.row_number().over(order).cast("long") - 1)
+    placed = ranked.withColumn("place", place("length", "salt", "rank"))
+    return placed.select(*[F.col("row").getField(c).alias(c) for c in own], "place.sequence_id", "place.offset")
