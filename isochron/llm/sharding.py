@@ -6,7 +6,8 @@ clockwise to the next virtual node whose shard has room. The capacities add up t
 one at most, and only keys beyond a full shard leave their place on the ring.
 
 Only the row counts of the ring's positions (a fixed number) come to the driver. The walk over them yields segments
-(position, first rank, last rank) -> (shard, first slot); each row finds its segment by its rank within its position.
+(position, first rank, last rank) -> (shard, first slot); each row finds its segment by its rank within its position. A position that holds more than
+RANKED_ROWS rows, as that of a very frequent key does, is ranked in parts by a hash of the whole row, one after the other.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 
 POSITION_BITS = 13
 VIRTUAL_NODES = 128
-SEGMENT = "array<struct<_position:int,_low:bigint,_high:bigint,shard:int,_first:bigint>>"
+RANKED_ROWS = 4_000_000
+SEGMENT = "array<struct<at:int,part:int,low:bigint,high:bigint,shard:int,first:bigint>>"
 
 
 def ring(shards: int, virtual_nodes: int = VIRTUAL_NODES, bits: int = POSITION_BITS) -> list[tuple[int, int]]:
@@ -79,35 +81,64 @@ def ring_position(key: Sequence[Column], bits: int = POSITION_BITS) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*key), 64 - bits).cast("int")
 
 
-def as_table(spark: SparkSession, segments: Sequence[tuple[int, int, int, int, int]]) -> DataFrame:
-    names = ("_position", "_low", "_high", "shard", "_first")
+def by_part(
+    segments: Sequence[tuple[int, int, int, int, int]], parts: dict[int, dict[int, int]]
+) -> list[tuple[int, int, int, int, int, int]]:
+    """Segments (position, part, low, high, shard, first) with ranks counted within the parts of a position; `parts` has the rows of each part of
+    the positions that have any."""
+    found = []
+    for position, low, high, shard, first in segments:
+        before = 0
+        for part, count in sorted(parts.get(position, {0: high}).items()):
+            start, end = max(low, before), min(high, before + count)
+            if start < end:
+                found.append((position, part, start - before, end - before, shard, first + start - low))
+            before += count
+    return found
+
+
+def as_table(spark: SparkSession, segments: Sequence[tuple[int, int, int, int, int, int]]) -> DataFrame:
+    names = ("at", "part", "low", "high", "shard", "first")
     rows = json.dumps([dict(zip(names, s, strict=True)) for s in segments])
     return spark.range(1).select(F.inline(F.from_json(F.lit(rows), SEGMENT)))
 
 
 def shard_rows(
     rows: DataFrame, shards: int, key: Sequence[str], ties: Sequence[str] = (), virtual_nodes: int = VIRTUAL_NODES,
-    bits: int = POSITION_BITS,
+    bits: int = POSITION_BITS, ranked_rows: int = RANKED_ROWS,
 ) -> DataFrame:
     """All columns of `rows`, plus shard (0 to shards - 1) and slot (gapless from 0 within the shard).
 
     Law: row counts of shards differ by one at most. `key` decides the place on the ring, `ties` orders rows of one
     key. Null keys hash like any value. Rows equal in key and ties are interchangeable; each has a slot of its own. An
-    empty table gives an empty result. Columns of `rows` named shard, slot or beginning with an underscore are replaced.
+    empty table gives an empty result. Columns of `rows` named shard or slot are replaced, all others stay, whatever their names.
 
-    Two scans: one of the key alone for the counts, one of all columns. A position holds 1 / 2**bits of the keys; the
-    sort within it spills. The segments are broadcast: at most one per position and a few per virtual node.
+    Two scans: one of the key alone for the counts, one of all columns; a third of positions with more than `ranked_rows` rows, if
+    there are any. A position holds 1 / 2**bits of the keys; the
+    sort within it, or within a part of it, spills. The segments are broadcast: at most one per position or part and a few per virtual node.
     """
     spark = rows.sparkSession
+    own = [c for c in rows.columns if c not in ("shard", "slot")]
     position = ring_position([F.col(c) for c in key], bits)
     found = {r[0]: r[1] for r in rows.groupBy(position.alias("p")).count().collect()}  # at most 2**bits numbers
     counts = [found.get(p, 0) for p in range(1 << bits)]
-    segments = walk(counts, ring(shards, virtual_nodes, bits), shards) or [(0, 0, 0, 0, 0)]
-    order = Window.partitionBy("_position").orderBy(F.xxhash64(*key), *key, *ties)
-    ranked = rows.drop("shard", "slot").withColumn("_position", position).withColumn("_rank", F.row_number().over(order) - 1)
-    inside = (F.col("_rank") >= F.col("_low")) & (F.col("_rank") < F.col("_high"))
-    table = F.broadcast(as_table(spark, segments).withColumnRenamed("_position", "_at"))
-    placed = ranked.join(table, (F.col("_position") == F.col("_at")) & inside)
-    return placed.withColumn("slot", F.col("_first") + F.col("_rank") - F.col("_low")).drop(
-        "_position", "_rank", "_at", "_low", "_high", "_first"
+    segments = walk(counts, ring(shards, virtual_nodes, bits), shards)
+    hot = {p: -(-n // ranked_rows) for p, n in found.items() if n > ranked_rows}
+    split = F.from_json(F.lit(json.dumps({str(p): n for p, n in hot.items()})), "map<string,int>")
+    order = F.xxhash64(*own)
+    part = F.pmod(order, F.coalesce(F.element_at(split, position.cast("string")), F.lit(1))).cast("int") if hot else F.lit(0)
+    # The row travels as one value, so no name of its columns meets a name used here.
+    held = rows.select(F.struct(*own).alias("row"), position.alias("at"), part.alias("part"), order.alias("order"))
+    parts: dict[int, dict[int, int]] = {}
+    if hot:
+        for at, salt, n in held.filter(F.col("at").isin(list(hot))).groupBy("at", "part").count().collect():
+            parts.setdefault(at, {})[salt] = n
+    fields = [F.col("row").getField(c) for c in (*key, *ties)]
+    place = Window.partitionBy("at", "part").orderBy(F.xxhash64(*fields[:len(key)]), *fields, "order")
+    ranked = held.withColumn("rank", F.row_number().over(place) - 1)
+    table = as_table(spark, by_part(segments, parts) or [(0, 0, 0, 0, 0, 0)]).select(
+        F.col("at").alias("s_at"), F.col("part").alias("s_part"), "low", "high", "shard", "first"
     )
+    inside = (F.col("at") == F.col("s_at")) & (F.col("part") == F.col("s_part")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
+    placed = ranked.join(F.broadcast(table), inside).select("row", "shard", (F.col("first") + F.col("rank") - F.col("low")).alias("slot"))
+    return placed.select(*[F.col("row").getField(c).alias(c) for c in own], "shard", "slot")
