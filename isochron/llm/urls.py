@@ -15,11 +15,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Terms of unwanted sites, and terms that are unwanted only together.
-STRICT_TERMS = ("casino", "porn", "xxx", "sex", "viagra", "cialis", "pills", "spam", "malware", "phishing", "warez", "escort")
-SOFT_TERMS = (
-    "adult", "ads", "affiliate", "bet", "bets", "bonus", "cheap", "click", "coupon", "dating", "deal", "deals", "farm", "free",
-    "gambling", "hack", "loan", "loans", "lottery", "poker", "promo", "slots", "torrent", "track", "win", "winner", "x",
+# Terms of unwanted sites. One of these is enough.
+STRICT_TERMS = tuple(
+    "porn porno pornos xxx sex sexcam sexcams hentai milf nsfw escort escorts camgirl camgirls hardcore bdsm fetish "
+    "casino casinos sportsbook bookmaker roulette blackjack baccarat viagra cialis levitra xanax tramadol steroids pills "
+    "malware phishing ransomware keylogger botnet spyware trojan warez crackz keygen keygens serialz spam spammer "
+    "counterfeit replicas darknet fakeid".split()
+)
+# Terms that many good sites have too. Only several different ones together reject.
+SOFT_TERMS = tuple(
+    "adult adults nude nudes naked erotic dating hookup hookups singles webcam webcams cams gambling gamble bet bets betting jackpot lottery lotto "
+    "poker slots bingo payday loan loans credit bonus bonuses cheap discount coupon coupons promo promos deal deals free freebie freebies giveaway "
+    "win winner winners prize prizes earn cash money investment forex crypto bitcoin ads adserver affiliate affiliates popup popups banner tracker "
+    "track click clicks clickbait farm hack hacks hacked crack cracked torrent torrents pirate pirated leaked proxy replica rolex weightloss diet "
+    "miracle cure".split()
 )
 SOFT_LIMIT = 2
 
