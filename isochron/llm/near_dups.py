@@ -3,23 +3,29 @@
 Signatures: a first permutation sends every shingle to a place on a circle of 2**32; a second one, shifted circularly by 0, 1, 2, ...,
 gives all coordinates, each the least value over the shingles. Bands of coordinates are buckets.
 
-Texts with the same words are one class, found by a digest and represented by its smallest doc_id; only representatives
-are signed into buckets. Within a bucket no list of pairs is made: every member is compared with the bucket's hub, and what
+Texts with the same words are one class, found by a digest; classes, not doc_ids, are what is linked, so rows that share a doc_id but
+not their words stay apart. Within a bucket no list of pairs is made: every member is compared with the bucket's hub, and what
 is linked becomes one component. A bucket of more than two members that still holds several components is then searched
 where its sets lie: a member outside the bucket's largest component is held against all others at once, and only links
-between different components come out. Large buckets are searched block against block. So no link of a bucket is lost unless
-its texts are connected anyway, and what leaves a bucket are fewer links than members.
+between different components come out. So no link of a bucket is lost unless its texts are connected anyway, and what leaves a bucket
+are fewer links than members.
+
+Before texts or sets travel, the share of equal signature coordinates estimates a pair's similarity, from one byte a coordinate. Pairs
+that agree in under LEAST_AGREEING of them are left out: with 200 coordinates a pair at 0.8 stands seven standard deviations
+above. All others are decided on their full sets.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isochron.session import stored
@@ -29,7 +35,9 @@ THRESHOLD = (4, 5)
 BANDS, ROWS = 40, 5
 HUB_ROUNDS = 2
 HUB_SHARE = 256
-BLOCK_MEMBERS = 512
+# Members of a bucket that meet in one group, of full sets and of sketches.
+BLOCK_MEMBERS, BLOCK_SKETCHES = 512, 4096
+LEAST_AGREEING = 0.6
 BROADCAST_ROWS = 2_000_000
 BLANK = re.compile(rb"[\x20\x09-\x0d]+")
 
@@ -103,27 +111,41 @@ def band_hashes(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return total.view(np.int64)
 
 
-SIGNED = "doc_id bigint, digest binary, n_shingles bigint, bands array<bigint>"
+def digest_of(words: Sequence[bytes]) -> bytes:
+    """The name of a class: a 128-bit hash of the words."""
+    return xxhash.xxh3_128_digest(b" ".join(words))
+
+
+def digest(text: Column) -> Column:
+    """The class of a text, as near_duplicates names it."""
+    @F.pandas_udf("binary")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: digest_of(words_of(t)))
+
+    return run(text)
+
+
+SIGNED = "doc_id bigint, digest binary, n_shingles bigint, bands array<bigint>, sketch binary"
 
 
 def sign(documents: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, digest of the words, number of distinct shingles, and buckets of every document. A map over the scan."""
+    """doc_id, digest of the words, number of distinct shingles, buckets, and the low byte of each coordinate of every document. A map over the scan."""
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, sizes, buckets, seen = [], [], [], {}
+            found, seen = [], {}
             for text in batch.column(1).to_pylist():
                 words = words_of(text)
-                digest = xxhash.xxh3_128_digest(b" ".join(words))
-                if digest not in seen:
+                name = digest_of(words)
+                if name not in seen:
                     hashes = shingle_hashes(words, width)
-                    found = band_hashes(signature(hashes, bands * rows), bands, rows).tolist() if len(hashes) else []
-                    seen[digest] = (len(hashes), found)
-                digests.append(digest)
-                sizes.append(seen[digest][0])
-                buckets.append(seen[digest][1])
+                    least = signature(hashes, bands * rows)
+                    seen[name] = (name, len(hashes), *((band_hashes(least, bands, rows).tolist(), least.astype(np.uint8).tobytes()) if len(hashes) else ([], b"")))
+                found.append(seen[name])
+            columns = list(zip(*found, strict=True)) or [[]] * 4
+            kinds = (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))],
-                names=["doc_id", "digest", "n_shingles", "bands"],
+                [batch.column(0), *[pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]],
+                names=["doc_id", "digest", "n_shingles", "bands", "sketch"],
             )
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of_batch, SIGNED)
@@ -137,6 +159,27 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def agreeing(a: Sequence[bytes], b: Sequence[bytes]) -> np.ndarray:
+    """Share of equal coordinates of each pair of sketches."""
+    table = [np.frombuffer(b"".join(x), np.uint8).reshape(len(x), -1) for x in (a, b)]
+    return (table[0] == table[1]).mean(axis=1) if len(a) else np.zeros(0)
+
+
+def plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Those pairs (hub, doc_id) whose sketches (doc_id, sketch) agree in enough coordinates to be alike."""
+    ids = pairs.select("doc_id").union(pairs.select("hub")).distinct()
+    needed = sketches.join(small(ids, ids.count()), "doc_id", "left_semi")
+    hubs = needed.select(F.col("doc_id").alias("hub"), F.col("sketch").alias("_a"))
+    both = pairs.join(hubs, "hub").join(needed.withColumnRenamed("sketch", "_b"), "doc_id").select("hub", "doc_id", "_a", "_b")
+
+    def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            share = agreeing(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            yield batch.select(["hub", "doc_id"]).filter(pa.array(share >= LEAST_AGREEING))
+
+    return both.mapInArrow(estimate, "hub bigint, doc_id bigint")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
     """Those pairs (hub, doc_id) whose full shingle sets are alike. `texts` has the text of each doc_id that occurs.
 
@@ -205,49 +248,79 @@ def missing_links(
     return found
 
 
-def search_buckets(live: DataFrame, texts: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
-    """Links (hub, doc_id) missing within the buckets of `live` (band, doc_id, component), found on full sets of 64-bit hashes.
+def near_members(labels: Sequence[int], blocks: Sequence[int], sketches: Sequence[bytes]) -> np.ndarray:
+    """Which members of a bucket agree in enough coordinates with one of another label (and, where there are two blocks, of the other block)."""
+    names, label = np.unique(np.array(labels), return_inverse=True)
+    block, across = np.array(blocks), len(set(blocks)) > 1
+    table = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+    least, near = math.ceil(LEAST_AGREEING * table.shape[1]), np.zeros(len(table), bool)
+    for i in np.flatnonzero(label != np.bincount(label).argmax()).tolist():
+        alike_to = (np.count_nonzero(table == table[i], axis=1) >= least) & (label != label[i])
+        if across:
+            alike_to &= block != block[i]
+        if alike_to.any():
+            near |= alike_to
+            near[i] = True
+    return near
+
 
-    A bucket is dealt into blocks of about BLOCK_MEMBERS, and every two blocks of a bucket are one group: memory is bounded
+def by_bucket(live: DataFrame, carried: DataFrame, column: str, size: int, work, schema: str) -> DataFrame:
+    """Run work(doc_ids, components, blocks, values, band) -> rows over the buckets of `live` (band, doc_id, component), each member with a column of `carried`.
+
+    A bucket is dealt into blocks of about `size` members, and every two blocks of a bucket are one group: memory is bounded
     whatever the bucket's size.
     """
-    def hash_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_hashes(words_of(t), width).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "hashes"])
+    names = [part.split()[0] for part in schema.split(", ")]
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
-
-        def found() -> list[tuple[int, int]]:
-            ids, labels, blocks, sets = zip(*rows, strict=True)
-            return missing_links(ids, labels, blocks, [np.frombuffer(x, np.uint64) for x in sets], threshold)
+    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
         for batch in batches:
-            links = []
+            found = []
             for band, low, high, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if (band, low, high) != key:
-                    links += found() if rows else []
+                    found += work(*zip(*rows, strict=True), key[0]) if rows else []
                     key, rows = (band, low, high), []
                 rows.append(row)
-            yield as_links(links)
-        yield as_links(found() if rows else [])
+            yield as_batch(found)
+        yield as_batch(work(*zip(*rows, strict=True), key[0]) if rows else [])
 
-    def as_links(links: list[tuple[int, int]]) -> pa.RecordBatch:
-        columns = list(zip(*links, strict=True)) or [[], []]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["hub", "doc_id"])
-
-    sets = texts.join(small(ids := live.select("doc_id").distinct(), ids.count()), "doc_id", "left_semi").select("doc_id", "text")
-    sets = stored(sets.mapInArrow(hash_sets, "doc_id bigint, hashes binary"), "bucket-sets")
-    sizes = live.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("_blocks"))
+    sizes = live.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("_blocks"))
     dealt = live.join(sizes, "band").withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int"))
     others = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
     spread = dealt.select("band", "doc_id", "component", "_block", others).select(
         "band", F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high"), "doc_id", "component", "_block"
     )
     group = ["band", "_low", "_high"]
-    rows = spread.join(sets, "doc_id").select(*group, "doc_id", "component", "_block", "hashes")
-    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(search, "hub bigint, doc_id bigint").distinct()
+    rows = spread.join(carried, "doc_id").select(*group, "doc_id", "component", "_block", column)
+    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, schema).distinct()
+
+
+def search_buckets(live: DataFrame, sketches: DataFrame, texts: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
+    """Links (hub, doc_id) missing within the buckets of `live` (band, doc_id, component), found on full sets of 64-bit hashes.
+
+    Only members whose sketch comes near that of a member of another component bring their sets.
+    """
+    def near(ids, labels, blocks, values, band) -> list[tuple[int, int]]:
+        return [(band, i) for i, n in zip(ids, near_members(labels, blocks, values), strict=True) if n]
+
+    def links(ids, labels, blocks, values, band) -> list[tuple[int, int]]:
+        return missing_links(ids, labels, blocks, [np.frombuffer(x, np.uint64) for x in values], threshold)
+
+    def hash_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(words_of(t), width).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "hashes"])
+
+    close = stored(by_bucket(live, sketches, "sketch", BLOCK_SKETCHES, near, "band bigint, doc_id bigint"), "bucket-near")
+    kept = live.join(close, ["band", "doc_id"], "left_semi")
+    ids = close.select("doc_id").distinct()
+    sets = texts.join(small(ids, ids.count()), "doc_id", "left_semi").select("doc_id", "text")
+    sets = stored(sets.mapInArrow(hash_sets, "doc_id bigint, hashes binary"), "bucket-sets", compression="zstd")
+    return by_bucket(kept, sets, "hashes", BLOCK_MEMBERS, links, "hub bigint, doc_id bigint")
 
 
 # -- Components ----------------------------------------------------------------------------------------------------------
@@ -278,16 +351,40 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
 # -- The operator --------------------------------------------------------------------------------------------------------
 
 
+def class_texts(classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """One text (doc_id, text) of each class (doc_id, digest, _first, _copies); doc_id is the class's number from here on.
+
+    The text comes from a row with the class's smallest doc_id. Of rows that repeat both, one is taken.
+    """
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [digest_of(words_of(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), batch.column(1)], names=["_first", "digest", "text"])
+
+    rows = documents.select(F.col("doc_id").cast("long").alias("_first"), "text")
+    count = classes.count()
+    firsts = classes.select("_first").distinct()
+    rows = rows.join(small(firsts, count), "_first", "left_semi").mapInArrow(digests, "_first bigint, digest binary, text string")
+    named = rows.join(small(classes, count), ["_first", "digest"])
+    if classes.filter("_copies > 1").isEmpty():
+        return named.select("doc_id", "text")
+    again = named.filter("_copies > 1").select("doc_id", "text").dropDuplicates(["doc_id"])
+    return named.filter("_copies = 1").select("doc_id", "text").unionByName(again)
+
+
 def linked_components(
     signed: DataFrame, documents: DataFrame, width: int, threshold: tuple[int, int], hub_rounds: int = HUB_ROUNDS
 ) -> DataFrame:
-    """(doc_id, component) of all representatives with a link: two in one bucket whose sets are alike are in one component."""
+    """(doc_id, component) of all classes with a link: two in one bucket whose sets are alike are in one component. `signed` has
+    the rows of the classes' first documents, under the classes' numbers as doc_id."""
     buckets = signed.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
     shared = buckets.groupBy("band").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).filter("_low < _high")
     members = stored(buckets.join(shared.select("band"), "band", "left_semi"), "bucket-members")
     ids = members.select("doc_id").distinct()
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = stored(texts.join(small(ids, ids.count()), "doc_id", "left_semi"), "bucket-texts")
+    own = signed.join(small(ids, ids.count()), "doc_id", "left_semi")
+    sketches = stored(own.select("doc_id", "sketch"), "bucket-sketches")
+    classes = stored(own.select("doc_id", "digest", "_first", "_copies"), "bucket-classes")
+    texts = stored(class_texts(classes, documents), "bucket-texts", compression="zstd")
     above, below = threshold
     near = below * F.least("n_shingles", "_n") >= above * F.greatest("n_shingles", "_n")
     links, labelled = None, members.withColumn("component", F.col("doc_id"))
@@ -299,9 +396,9 @@ def linked_components(
             )
             pairs = labelled.join(hubs, "band").filter((F.col("_c") != F.col("component")) & near)
             pairs = pairs.select(F.least("hub", "doc_id").alias("hub"), F.greatest("hub", "doc_id").alias("doc_id")).distinct()
-            fresh = verified(stored(pairs, "pairs"), texts, width, threshold)
+            fresh = verified(stored(plausible(stored(pairs, "pairs"), sketches), "near-pairs"), texts, width, threshold)
         else:
-            fresh = search_buckets(labelled, texts, width, threshold)
+            fresh = search_buckets(labelled, sketches, texts, width, threshold)
         fresh = stored(fresh, "links")
         links = fresh if links is None else links.union(fresh)
         if turn < hub_rounds:
@@ -321,23 +418,33 @@ def linked_components(
 def near_duplicates(
     documents: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id of the component) and kept (doc_id = component_id) per row.
+    """doc_id, n_shingles, component_id (the smallest doc_id of the component), kept (doc_id = component_id), digest (the class) and first per row.
 
     Two documents are linked when the Jaccard similarity of their shingle sets is at least `threshold` and a bucket holds both: with the
     defaults a pair at 0.8 is missed with probability (1 - 0.8**5)**40 = 1e-7. Null and texts without words have no
-    shingles, are linked with nothing and are kept. doc_id names a document: rows that repeat one are one node, and all
-    are marked alike. Rows without doc_id are linked with nothing; their component is null and they are kept. An
-    empty table gives an empty result. Other columns of `documents` are ignored.
+    shingles, are linked with nothing and are kept. Rows are told apart by doc_id and words: rows that repeat both are marked alike, and
+    of rows that share a doc_id only those with the same component_id belong together. `first` marks the rows that stand for their component when
+    one is to stay: those with its smallest doc_id and, if unlike texts share that, its smallest digest. Rows without doc_id are linked with nothing;
+    their component is null and they are kept. An empty table gives an empty result. Other columns of `documents` are ignored.
     """
     signed = stored(sign(documents, width, bands, rows), "signed")
     named = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = stored(named.groupBy("digest").agg(F.min("doc_id").alias("_first")), "classes")
-    firsts = named.join(classes, (named["digest"] == classes["digest"]) & (F.col("doc_id") == F.col("_first")), "left_semi")
-    found = linked_components(firsts.select("doc_id", "n_shingles", "bands"), documents, width, threshold)
-    labels = classes.join(found.withColumnRenamed("doc_id", "_first"), "_first", "left").select(
-        "digest", F.coalesce("component", "_first").alias("_component")
+    copies = named.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("_copies"))
+    least = copies.groupBy("digest").agg(F.min(F.struct("doc_id", "_copies")).alias("_f"))
+    classes = least.select("digest", F.col("_f.doc_id").alias("_first"), F.col("_f._copies").alias("_copies"), F.monotonically_increasing_id().alias("node"))
+    classes = stored(classes, "classes")
+    firsts = named.join(classes.withColumnRenamed("_first", "doc_id"), ["digest", "doc_id"])
+    firsts = firsts.select(F.col("node").alias("doc_id"), "digest", F.col("doc_id").alias("_first"), "_copies", "n_shingles", "bands", "sketch")
+    if not classes.filter("_copies > 1").isEmpty():
+        firsts = firsts.filter("_copies = 1").unionByName(firsts.filter("_copies > 1").dropDuplicates(["doc_id"]))
+    found = stored(linked_components(firsts, documents, width, threshold).withColumnRenamed("doc_id", "node"), "linked-classes")
+    heads = found.join(classes, "node").groupBy("component").agg(F.min(F.struct("_first", "digest")).alias("_head"))
+    labels = classes.join(found.join(heads, "component"), "node", "left").select(
+        "digest", F.coalesce("_head._first", "_first").alias("_component"), F.coalesce("_head.digest", "digest").alias("_digest")
     )
-    linked = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("_component")).otherwise(F.col("doc_id"))
     placed = signed.select("doc_id", "n_shingles", "digest").join(labels, "digest", "left")
-    result = placed.select("doc_id", "n_shingles", linked.alias("component_id"))
-    return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    real = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    component = F.when(real, F.col("_component")).otherwise(F.col("doc_id"))
+    result = placed.select("doc_id", "n_shingles", component.alias("component_id"), "digest", F.coalesce("_digest", "digest").alias("_head"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return result.withColumns({"kept": kept, "first": kept & (F.col("digest") == F.col("_head"))}).drop("_head")

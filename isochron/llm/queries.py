@@ -198,14 +198,14 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         sketches.as_text(F.col("sketch")).alias("fingerprint"), sketches.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        "near_edited", "near_next",
+        "near_edited", "near_next", "n_distinct", "kept_share",
     )
 
 
 @query()
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of four-word shingles are alike at 0.8."""
-    return near_dups.near_duplicates(documents(spark, sf_dir), width=4)
+    return near_dups.near_duplicates(documents(spark, sf_dir), width=4).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query()
