@@ -1,13 +1,16 @@
 """Toxicity as a weighted finite-state grammar over clauses.
 
-A text is cut into clauses at sentence marks and line ends. A lexicon transducer turns each word into an input symbol: insult (with the weight of the
-longest known stem), threat, target, negation, reporting, or other. Clause transducers run over these symbols and are
-composed by feeding the output of one into the next:
-  negation:   an insult or threat within a few words after a negation is marked negated;
-  reporting:  after a reporting word or inside quotation marks it is marked reported;
-  target:     with a target word near it, it is marked aimed.
-So a clause comes out as weighted matches, not as isolated words, and matches of each kind are added up per document. A
-logistic layer over these sums gives the score.
+A lexicon turns each word of a text into a symbol: insult (with the weight of the longest known stem), threat, target, negation,
+reporting, or other; quotation marks, commas, colons, sentence ends and line ends are symbols too. Small transducers read the symbols of the whole
+text and put marks on insults and threats:
+  quotation:       between quotation marks, over as many sentences as they hold, a match is reported;
+  reporting:       after a reporting word up to the end of the sentence ("she said: ...", also over a line end behind the colon);
+  reporting back:  before a reporting word that follows a comma or a quotation mark ("..., he wrote"), read from the end;
+  negation:        within a few words after a negation a match is negated;
+  target, and target back: with a target word a few words before or behind it, a match is aimed.
+Those that read forwards are composed into one transducer, those that read backwards into another. So a text comes out as weighted, marked
+matches, not as isolated words: a negated match counts as negated, else a reported one as reported, else an aimed one as aimed, else it is plain, and a
+threat is one only if it is aimed. The weights of the matches of each kind are added up per document, and a logistic layer over these sums gives the score.
 
 Insult stems are learnt: a stem is a prefix of words, or a whole word, that occurs more often in toxic texts of the training
 rows. The lists of the other classes are fixed.
@@ -15,10 +18,11 @@ rows. The lists of the other classes are fixed.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,9 +45,10 @@ REPORTS = frozenset(
 )
 QUOTES = frozenset("\"“”„«»")
 
-CLAUSE_END = re.compile(r"[.!?;:\n]+")
-TOKEN = re.compile(r"[^\W\d_]+|[\"“”„«»]")
-NEGATION_REACH, TARGET_REACH = 3, 3
+WORD = re.compile(r"[^\W\d_]+")
+TOKEN = re.compile(r"[^\W\d_]+|[\"“”„«»,:.!?;\n]")
+# Words that a negation, a target and a reporting word behind a comma reach over.
+NEGATION_REACH, TARGET_REACH, REPORT_REACH = 3, 3, 3
 STEM_LENGTHS = range(3, 9)
 KINDS = ("plain", "aimed", "negated", "reported")
 
@@ -62,7 +67,7 @@ def stems(word: str) -> list[str]:
 
 
 def tokens_of(text: str | None) -> list[str]:
-    return TOKEN.findall((text or "").lower())
+    return WORD.findall((text or "").lower())
 
 
 def stem_counts(labelled: DataFrame) -> DataFrame:
@@ -109,79 +114,170 @@ def learn_lexicon(labelled: DataFrame, toxic_words: int, clean_words: int) -> di
     return lexicon
 
 
-# -- The grammar ---------------------------------------------------------------------------------------------------------
+# -- The transducers -----------------------------------------------------------------------------------------------------
+
+
+# Kinds of symbols. END is a sentence end, LINE a line end.
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, COMMA, COLON, END, LINE = range(11)
+MATCHES, ALL_KINDS = (INSULT, THREAT), 11
+SIGNS = {**dict.fromkeys(QUOTES, QUOTE), ",": COMMA, ":": COLON, **dict.fromkeys(".!?;", END), "\n": LINE}
+WORD_KINDS = (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT)
+REPORTED, NEGATED, AIMED = 1, 2, 4
 
 
 @dataclass(frozen=True)
-class Symbol:
-    """What the lexicon makes of a word."""
+class Transducer:
+    """arcs[state][kind] = (next state, marks put on the symbol); the start is state 0. Symbols pass through unchanged but for their marks."""
+
+    arcs: tuple[tuple[tuple[int, int], ...], ...]
+
+    @staticmethod
+    def of(states: int, rule: Callable[[int, int], tuple[int, int]]) -> Transducer:
+        """From a rule (state, kind) -> (next state, marks); only matches carry marks."""
+        def arc(state: int, kind: int) -> tuple[int, int]:
+            after, marks = rule(state, kind)
+            return after, marks if kind in MATCHES else 0
+
+        return Transducer(tuple(tuple(arc(state, kind) for kind in range(ALL_KINDS)) for state in range(states)))
+
+    def then(self, other: Transducer) -> Transducer:
+        """The composition: `other` reads what this one puts out. Its states are the pairs of states that can be reached."""
+        number, arcs, waiting = {(0, 0): 0}, [], [(0, 0)]
+        while waiting:
+            a, b = waiting.pop(0)
+            row = []
+            for kind in range(ALL_KINDS):
+                (next_a, first), (next_b, second) = self.arcs[a][kind], other.arcs[b][kind]
+                if (next_a, next_b) not in number:
+                    number[next_a, next_b] = len(number)
+                    waiting.append((next_a, next_b))
+                row.append((number[next_a, next_b], first | second))
+            arcs.append(tuple(row))
+        return Transducer(tuple(arcs))
+
+    def marks(self, kinds: Iterable[int]) -> list[int]:
+        """The marks of each symbol of a text."""
+        state, found, arcs = 0, [], self.arcs
+        for kind in kinds:
+            state, marks = arcs[state][kind]
+            found.append(marks)
+        return found
+
+
+def quotation() -> Transducer:
+    """State 1 between quotation marks; a line end closes them."""
+    return Transducer.of(2, lambda state, kind: (0 if kind == LINE else state ^ (kind == QUOTE), REPORTED * state))
+
+
+def reporting() -> Transducer:
+    """State 1 behind a reporting word, 2 behind a colon that follows it, where one line end does not end the report."""
+    def rule(state: int, kind: int) -> tuple[int, int]:
+        after = min(state, 1)
+        if kind == REPORT:
+            after = 1
+        elif kind == END or (kind == LINE and state == 1):
+            after = 0
+        elif kind == COLON and state:
+            after = 2
+        return after, REPORTED if state else 0
+
+    return Transducer.of(3, rule)
+
+
+def reporting_back() -> Transducer:
+    """Read from the end: states 1 to REPORT_REACH before a reporting word, as many words as may still stand before the comma or quotation mark
+    that opens the last state, which holds to the beginning of the sentence."""
+    behind = REPORT_REACH + 1
 
-    kind: str
-    weight: float = 0.0
+    def rule(state: int, kind: int) -> tuple[int, int]:
+        if kind in (END, LINE):
+            return 0, 0
+        if state == behind:
+            return behind, REPORTED
+        if kind == REPORT:
+            return REPORT_REACH, 0
+        if state and kind in (COMMA, QUOTE):
+            return behind, 0
+        return (max(0, state - 1) if kind in WORD_KINDS else state), 0
 
+    return Transducer.of(behind + 1, rule)
 
-OTHER = Symbol("other")
+
+def reach(opened_by: int, words: int, mark: int) -> Transducer:
+    """Marks matches up to so many words behind a symbol of one kind, within the clause. The state is the number of words still reached."""
+    def rule(state: int, kind: int) -> tuple[int, int]:
+        if kind in (END, LINE, COLON):
+            return 0, 0
+        after = words if kind == opened_by else max(0, state - (kind in WORD_KINDS))
+        return after, mark if state else 0
+
+    return Transducer.of(words + 1, rule)
+
+
+FORWARDS = quotation().then(reporting()).then(reach(NEGATION, NEGATION_REACH, NEGATED)).then(reach(TARGET, TARGET_REACH, AIMED))
+BACKWARDS = reporting_back().then(reach(TARGET, TARGET_REACH, AIMED))
+
+
+def matches(kinds: Sequence[int]) -> list[tuple[int, str]]:
+    """(place, kind of match) of the insults and threats of a text's symbols, in order."""
+    forwards, backwards = FORWARDS.marks(kinds), BACKWARDS.marks(reversed(kinds))[::-1]
+    found = []
+    for place, kind in enumerate(kinds):
+        if kind in MATCHES:
+            marks = forwards[place] | backwards[place]
+            name = "negated" if marks & NEGATED else "reported" if marks & REPORTED else "aimed" if marks & AIMED else "plain"
+            if kind == INSULT or name == "aimed":
+                found.append((place, name))
+    return found
+
+
+# -- The grammar ---------------------------------------------------------------------------------------------------------
 
 
 class Grammar:
-    """The lexicon transducer and the clause transducers."""
+    """The lexicon and the transducers."""
 
     def __init__(self, lexicon: dict[str, float], kept_words: int = 200_000):
-        self.lexicon, self.kept_words, self.known = lexicon, kept_words, {}
+        self.lexicon, self.kept_words = lexicon, kept_words
+        self.signs = {sign: (kind, 0.0) for sign, kind in SIGNS.items()}
+        self.known = dict(self.signs)
 
-    def symbol(self, word: str) -> Symbol:
+    def learn(self, word: str) -> tuple[int, float]:
         """The heaviest stem that accepts the word, else its closed class."""
-        found = self.known.get(word)
-        if found is None:
-            weights = [self.lexicon[s] for s in stems(word) if s in self.lexicon]
-            if weights:
-                found = Symbol("insult", max(weights))
-            else:
-                classes = (("threat", THREATS), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS), ("quote", QUOTES))
-                found = next((Symbol(kind, 1.0) for kind, words in classes if word in words), OTHER)
-            if len(self.known) >= self.kept_words:
-                self.known.clear()
-            self.known[word] = found
+        weights = [self.lexicon[s] for s in stems(word) if s in self.lexicon]
+        if weights:
+            found = (INSULT, max(weights))
+        else:
+            classes = ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS))
+            found = next(((kind, 1.0) for kind, words in classes if word in words), (OTHER, 0.0))
+        if len(self.known) >= self.kept_words:
+            self.known = dict(self.signs)
+        self.known[word] = found
         return found
 
-    def clause(self, symbols: Sequence[Symbol]) -> list[tuple[str, float]]:
-        """(kind, weight) of each insult or threat of a clause. One pass forward for negation and reporting, one back for targets."""
-        matches, denied, reported, quoted, last_target = [], 0, False, False, -TARGET_REACH - 1
-        targets = [i for i, s in enumerate(symbols) if s.kind == "target"]
-        for i, s in enumerate(symbols):
-            if s.kind == "negation":
-                denied = NEGATION_REACH + 1
-            elif s.kind == "report":
-                reported = True
-            elif s.kind == "quote":
-                quoted = not quoted
-            elif s.kind == "target":
-                last_target = i
-            elif s.kind in ("insult", "threat"):
-                ahead = any(0 < t - i <= TARGET_REACH for t in targets)
-                aimed = ahead or i - last_target <= TARGET_REACH
-                kind = "negated" if denied else "reported" if reported or quoted else "aimed" if aimed else "plain"
-                if s.kind == "insult" or kind == "aimed":  # a threat is one only against somebody
-                    matches.append((kind, s.weight))
-            denied = max(0, denied - 1)
-        return matches
+    def symbols(self, text: str | None) -> list[tuple[int, float]]:
+        """(kind, weight) of every word and sign of a text."""
+        found = []
+        for word in TOKEN.findall((text or "").lower()):
+            symbol = self.known.get(word)
+            found.append(self.learn(word) if symbol is None else symbol)
+        return found
 
     def document(self, text: str | None) -> list[float]:
         """Features: weight of the matches of each kind, number of matches and of clauses with one, and both per word."""
-        sums = dict.fromkeys(KINDS, 0.0)
-        n = clauses = words = 0
-        for part in CLAUSE_END.split((text or "").lower()):
-            symbols = [self.symbol(w) for w in TOKEN.findall(part)]
-            words += len(symbols)
-            if any(s.kind in ("insult", "threat") for s in symbols):
-                matches = self.clause(symbols)
-                clauses += bool(matches)
-                n += len(matches)
-                for kind, weight in matches:
-                    sums[kind] += weight
-        total = sum(sums.values())
+        symbols = self.symbols(text)
+        kinds = [kind for kind, _ in symbols]
+        if INSULT not in kinds and THREAT not in kinds:
+            return [0.0] * FEATURES
+        sums, clauses = dict.fromkeys(KINDS, 0.0), set()
+        ends = list(itertools.accumulate(kind in (END, LINE, COLON) for kind in kinds))
+        found = matches(kinds)
+        for place, name in found:
+            sums[name] += symbols[place][1]
+            clauses.add(ends[place])
+        words, total, n = sum(kind in WORD_KINDS for kind in kinds), sum(sums.values()), len(found)
         return [
-            *[math.log1p(sums[k]) for k in KINDS], math.log1p(total), math.log1p(n), math.log1p(clauses),
+            *[math.log1p(sums[k]) for k in KINDS], math.log1p(total), math.log1p(n), math.log1p(len(clauses)),
             math.log1p(100 * n / max(words, 1)), math.log1p(100 * total / max(words, 1)),
         ]
 
@@ -261,7 +357,8 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score (0 to 1) of every row; null and empty texts have no match and get the score of no match. No shuffle."""
+    """doc_id and score (0 to 1) of every row; null and empty texts have no match and get the score of no match. Null doc_ids stay, repeated rows
+    score alike, texts of any length are read whole, other columns are not read. No shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = Grammar(model.lexicon)
         for batch in batches:
