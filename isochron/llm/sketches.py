@@ -68,9 +68,23 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
-def union_of_group(a: str, size: int = SIZE) -> Column:
-    """Aggregate: the merged sketch of all rows of a group; its memory is that of the group's distinct kept hashes."""
-    return bottom(F.array_distinct(F.flatten(F.collect_set(a))), size)
+def merged(rows: DataFrame, keys: list[str], sketch_column: str = "sketch", size: int = SIZE, salts: int = 64) -> DataFrame:
+    """keys and sketch of the union of all sets of each group, from the rows' sketches: what bottom-k sketches of parts are for.
+
+    Distinct hashes are kept by group, first the least of each salt of the hashes and then the least of all, so a group that holds a third
+    of all rows is met by as many tasks as there are salts, and none sees more than size * salts hashes of it at the end. Groups in which all sketches are empty
+    or null keep an empty sketch; null keys form a group.
+    """
+    names = [f"k{i}" for i in range(len(keys))]
+    held = rows.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(sketch_column).alias("sketch"))
+    hashes = held.select(*names, F.explode("sketch").alias("hash")).distinct()
+    salted = hashes.withColumn("salt", F.pmod(F.xxhash64("hash"), F.lit(salts)))
+    least = salted.withColumn("place", F.row_number().over(Window.partitionBy(*names, "salt").orderBy("hash"))).filter(F.col("place") <= size)
+    of_all = least.withColumn("place", F.row_number().over(Window.partitionBy(*names).orderBy("hash"))).filter(F.col("place") <= size)
+    kept = of_all.select(*names, F.col("hash"))
+    none = held.select(*names).distinct().withColumn("hash", F.lit(None).cast("bigint"))
+    found = kept.unionByName(none).groupBy(*names).agg(F.sort_array(F.collect_list("hash")).alias("sketch"))
+    return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)], "sketch")
 
 
 def with_next(rows: DataFrame, key: str, carried: list[str], parts: int) -> DataFrame:
@@ -115,7 +129,8 @@ def fingerprints(
     documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, size: int = SIZE, parts: int = 64
 ) -> DataFrame:
     """key, text, n_chars, sketch; next_text; edited (the text, its last half replaced by as much of the head of the next text) and
-    edited_sketch; near_edited and near_next, the estimated resemblance to either.
+    edited_sketch; near_edited and near_next, the estimated resemblance to either; n_distinct, the estimated number of the text's distinct shingles; and
+    kept_share, the estimated share of them that the edited text has too (null for a text without words).
 
     A null text is empty; a text without words has an empty sketch. An empty table gives an empty result.
     """
@@ -130,4 +145,6 @@ def fingerprints(
         "n_chars": F.length("text").cast("long"),
         "near_edited": resemblance(F.col("sketch"), F.col("edited_sketch"), size),
         "near_next": resemblance(F.col("sketch"), F.col("next_sketch"), size),
+        "n_distinct": distinct_count(F.col("sketch"), size),
+        "kept_share": containment(F.col("sketch"), F.col("edited_sketch"), size),
     })

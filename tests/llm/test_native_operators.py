@@ -154,3 +154,41 @@ def test_fingerprint_query(spark, small_dir):
     prints = {}
     for r in rows:
         assert prints.setdefault(own[r["doc_id"]], r["fingerprint"]) == r["fingerprint"]
+
+
+NAMES = ("shard", "slot", "row", "at", "part", "order", "rank", "low", "high", "first", "s_at", "_low", "_first", "_at", "_position", "_rank", "p")
+
+
+@pytest.mark.parametrize("ranked_rows", [10**6, 40])
+def test_sharding_of_clashing_names_and_hot_keys(spark, ranked_rows):
+    rows = spark.range(900).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("key"), F.col("id").alias("doc_id"), *[F.lit(f"my {n}").alias(n) for n in NAMES])
+    found = sharding.shard_rows(rows, 7, ["key"], ["doc_id"], ranked_rows=ranked_rows)
+    assert sorted(found.columns) == sorted(rows.columns)
+    by = {}
+    got = found.collect()
+    for r in got:
+        by.setdefault(r["shard"], []).append(r["slot"])
+        assert all(r[n] == f"my {n}" for n in NAMES[2:])
+    assert sorted(r["doc_id"] for r in got) == list(range(900))
+    assert all(sorted(slots) == list(range(len(slots))) for slots in by.values()) and {len(s) for s in by.values()} == {128, 129}
+
+
+def test_merged_sketches_are_those_of_the_union(spark):
+    import random
+
+    draws = random.Random(4)
+    rows = [(draws.choice(["hot", "hot", "b", None]), [draws.randrange(-2**63, 2**63) for _ in range(draws.randrange(90))]) for _ in range(300)]
+    rows += [("empty", []), ("empty", None), ("b", rows[0][1])]
+    df = spark.createDataFrame(rows, "group string, hashes array<bigint>").repartition(6)
+    sketched = df.select("group", sketches.bottom(F.array_distinct("hashes")).alias("sketch"), F.lit("mine").alias("salt"))
+    found = {r["group"]: r["sketch"] for r in sketches.merged(sketched, ["group"], salts=8).collect()}
+    for group in ("hot", "b", None, "empty"):
+        union = sorted({h for g, hashes in rows if g == group for h in hashes or []})
+        assert found[group] == union[:sketches.SIZE]
+    assert len(found) == 4 and sketches.merged(sketched.limit(0), ["group"]).count() == 0
+
+
+def test_counts_and_shares_of_fingerprints(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    found = {r["doc_id"]: r for r in sketches.fingerprints(spark.createDataFrame([(1, text), (2, text), (3, None)], "doc_id bigint, text string")).collect()}
+    assert found[1]["n_distinct"] == 36 and 0.3 < found[1]["kept_share"] < 0.6 and found[3]["n_distinct"] == 0 and found[3]["kept_share"] is None
