@@ -35,17 +35,26 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts alike at 0.8 in five-word shingles, that with the smallest doc_id.
+    """One document of each component of texts alike at 0.8 in five-word shingles: that with the smallest doc_id, and where unlike texts of a
+    component share it, that with the smallest digest.
 
-    Of rows that repeat a doc_id one stays; rows without doc_id all stay.
+    Rows are told apart by doc_id and words, so of rows that repeat a doc_id those stay whose texts are no duplicates; of rows that repeat both
+    one stays. Rows without doc_id, and rows without words, all stay.
     """
-    found = near_dups.near_duplicates(docs.select("doc_id", "text"))
-    kept = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-    kept = stored(kept, "kept-documents")
-    once = docs.join(kept.filter("_n = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = docs.join(F.broadcast(kept.filter("_n > 1").select("doc_id")), "doc_id", "left_semi") if kept.filter("_n > 1").count() else None
-    parts = once if repeated is None else once.unionByName(repeated.dropDuplicates(["doc_id"]))
-    return parts.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    found = near_dups.near_duplicates(docs.select("doc_id", "text")).filter("doc_id IS NOT NULL AND n_shingles > 0")
+    found = stored(found.select("doc_id", F.col("digest").alias("_digest"), "first"), "judged-documents")
+    dropped = found.filter("NOT first").select("doc_id", "_digest").distinct()
+    repeated = found.filter("first").groupBy("doc_id", "_digest").count().filter("count > 1").select("doc_id", "_digest")
+    own, key = docs.columns, ["doc_id", "_digest"]
+    row = F.struct(*own).alias("_row")
+    apart = F.col("doc_id").isNull() | F.col("text").isNull() | ~F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))
+    named = docs.filter(~apart).select(row, F.col("doc_id").cast("long").alias("doc_id"), near_dups.digest(F.col("text")).alias("_digest"))
+    rest = named.join(near_dups.small(dropped, dropped.count()), key, "left_anti")
+    n = repeated.count()
+    if n:
+        copies = near_dups.small(repeated, n)
+        rest = rest.join(copies, key, "left_anti").unionByName(rest.join(copies, key, "left_semi").dropDuplicates(key))
+    return rest.select("_row.*").select(*own).unionByName(docs.filter(apart))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,8 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import sys
+import warnings
+
 import pytest
 from check_oracles import canonical, connect
 
@@ -32,5 +35,15 @@ def test_query_without_sql_has_rows(spark, small_dir, name):
     assert rows and all(r["forecast_mw"] is not None and abs(r["forecast_mw"]) < 1e6 for r in rows)
 
 
+def test_queries_stand_without_a_library_of_the_optional_modules(monkeypatch):
+    for name in list(sys.modules):
+        if name == "corpus_pipeline" or name.startswith("isochron.llm"):
+            monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "ahocorasick", None)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(ORACLES)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
