@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from isochron.operators.backtest import Geometry
 from isochron.plans import QUERIES, inputs, pipeline, series
 
-PYTHON_ONLY_IN = {"fc_linear", "fc_knn", "fc_sar", "fc_hybrid_models", "fc_forest", "fc_gbt"}
+PYTHON_ONLY_IN = {
+    "fc_linear", "fc_knn", "fc_sar", "fc_sar_closed", "fc_hybrid_models", "fc_hybrid_closed", "fc_series_stumps", "fc_series_trees", "fc_forest", "fc_gbt",
+}
 # Products of category labels and of day ranges, bounded by the labels and the calendar.
 SLOW = {"fc_forest", "fc_gbt", "stream_upsert", "stream_hourly_agg", "incremental_scan"}
 # Queries that read back what they wrote.
