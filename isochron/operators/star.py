@@ -106,18 +106,25 @@ def dim_weather_type(weather: DataFrame) -> DataFrame:
 
 
 def with_weather_type(weather: DataFrame, dim: DataFrame, cumulative: bool = False) -> DataFrame:
-    """Left-join the weather type: compute the buckets, then an equi-join on three labels.
+    """Left-join the weather type: compute the buckets, then an equi-join on labels.
 
     cumulative also matches all warmer categories, as a chain of 'below' tests does: the row is repeated for each
-    category it stays below (at most five copies), still an equi-join. The dimension has at most 60 rows.
+    type it stays below (at most five copies), of those the dimension has; without any it stays once, with a null type.
+    Still an equi-join. The dimension has at most 60 rows.
     """
     labelled = weather_labels(weather)
-    if cumulative:
-        labels = F.array(*map(F.lit, TEMPERATURE_LABELS))
-        start = F.array_position(labels, F.col("temperature_category")).cast("int")
-        warmer = F.when(start > 0, F.slice(labels, start, F.lit(5))).otherwise(F.array(F.lit("hot")))
-        labelled = labelled.withColumn("temperature_category", F.explode(warmer))
-    return labelled.join(F.broadcast(dim), WEATHER_CATEGORIES, "left").drop(*WEATHER_CATEGORIES)
+    if not cumulative:
+        return labelled.join(F.broadcast(dim), WEATHER_CATEGORIES, "left").drop(*WEATHER_CATEGORIES)
+    temperature, *others = WEATHER_CATEGORIES
+    own = [c for c in dim.columns if c not in WEATHER_CATEGORIES]
+    types = dim.groupBy(*others).agg(F.collect_list(F.struct(F.col(temperature).alias("_label"), *own)).alias("_types"))
+    labels = F.array(*map(F.lit, TEMPERATURE_LABELS))
+    start = F.array_position(labels, F.col(temperature)).cast("int")
+    warmer = F.when(start > 0, F.slice(labels, start, F.lit(5))).otherwise(F.array(F.lit("hot")))
+    joined = labelled.withColumn("_warmer", warmer).join(F.broadcast(types), others, "left")
+    fitting = F.filter("_types", lambda t: F.array_contains("_warmer", t["_label"]))
+    matched = joined.withColumn("_type", F.explode_outer(fitting))
+    return matched.withColumns({c: F.col("_type")[c] for c in own}).drop(*WEATHER_CATEGORIES, "_warmer", "_types", "_type")
 
 
 def dim_holiday(holidays: DataFrame) -> DataFrame:
