@@ -178,7 +178,8 @@ def read(spark: SparkSession, target: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids (little-endian unsigned 32-bit) of every document.
 
     Raises where a block does not have its checksum. Documents within one block need no shuffle; the parts of others meet by
-    their place in the part, one small group per document, so repeated doc_ids stay apart.
+    their place in the part, one small group per document, so repeated doc_ids stay apart. The starts of the parts, one number
+    for each part written, are broadcast; the ids stay where they were decoded.
     """
     pieces = _pieces(blocks(spark, target))
     is_whole = F.octet_length("ids") == 4 * F.col("n_tokens")
@@ -188,6 +189,6 @@ def read(spark: SparkSession, target: str) -> DataFrame:
     )
     joined = F.aggregate("_parts", F.lit(b""), lambda done, p: F.concat(done, p["ids"]))
     found = pieces.filter(is_whole).select(*columns).unionByName(parts.withColumn("ids", joined).select(*columns))
-    return found.join(part_starts(spark, target), "part").select(
+    return found.join(F.broadcast(part_starts(spark, target)), "part").select(
         "doc_id", (F.col("part_start") + F.col("first")).alias("start"), "n_tokens", "ids"
     )

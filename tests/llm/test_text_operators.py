@@ -544,3 +544,15 @@ def test_queries_without_sql_return_every_document(spark, small_dir):
     total = spark.read.parquet(f"{small_dir}/documents.parquet").count()
     for name in ("op1_sharding", "op3_pseudo_likelihood"):
         assert queries.QUERIES[name](spark, small_dir).count() == total
+
+
+def test_reading_planes_shuffles_no_whole_documents(spark, tmp_path):
+    docs = spark.createDataFrame([(k, "some words here") for k in range(50)], "doc_id bigint, text string")
+    bitplanes.write(docs, str(tmp_path / "planes"), public_tokenizers.path("word_bpe_49k.json"), 2, False, 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where Spark does not know beforehand that the parts are few
+    try:
+        found = bitplanes.read(spark, str(tmp_path / "planes"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and found.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
