@@ -7,7 +7,7 @@ Texts with the same words are one class, found by a digest; classes, not doc_ids
 not their words stay apart. Within a bucket no list of pairs is made: every member is compared with the bucket's hub, and what
 is linked becomes one component. A bucket of more than two members that still holds several components is then searched
 where its sets lie: a member outside the bucket's largest component is held against all others at once, and only links
-between different components come out. So no link of a bucket is lost unless its texts are connected anyway, and what leaves a bucket
+between different components come out. Members within that component are not held against each other, nor copied for it. So no link of a bucket is lost unless its texts are connected anyway, and what leaves a bucket
 are fewer links than members.
 
 Before texts or sets travel, the share of equal signature coordinates estimates a pair's similarity, from one byte a coordinate. Pairs
@@ -35,8 +35,8 @@ THRESHOLD = (4, 5)
 BANDS, ROWS = 40, 5
 HUB_ROUNDS = 2
 HUB_SHARE = 256
-# Members of a bucket that meet in one group, of full sets and of sketches.
-BLOCK_MEMBERS, BLOCK_SKETCHES = 512, 4096
+# Members of a bucket that meet in one group, of full sets and of sketches. So many shingles of full sets count as a member.
+BLOCK_MEMBERS, BLOCK_SKETCHES, MEMBER_SHINGLES = 512, 4096, 2048
 LEAST_AGREEING = 0.6
 BROADCAST_ROWS = 2_000_000
 BLANK = re.compile(rb"[\x20\x09-\x0d]+")
@@ -264,11 +264,33 @@ def near_members(labels: Sequence[int], blocks: Sequence[int], sketches: Sequenc
     return near
 
 
-def by_bucket(live: DataFrame, carried: DataFrame, column: str, size: int, work, schema: str) -> DataFrame:
+def deal_members(live: DataFrame, weight: Column, size: int) -> DataFrame:
+    """The members of `live` (band, doc_id, component) with _block, once for each group (_low, _high) of blocks in which they are compared.
+
+    A bucket whose weights add up to `size` is one block and one group. The members of any other are dealt into blocks of about
+    `size`, those outside its heaviest component first. Two blocks are a group where one of them is such a block, as members of one component are
+    not compared. So while those outside fit one block, a bucket's copies weigh at most three times its members; beyond,
+    each block of them meets all members once.
+    """
+    parts = live.groupBy("band", "component").agg(F.sum(weight).alias("_w"))
+    sizes = parts.groupBy("band").agg(F.sum("_w").alias("_all"), F.max(F.struct("_w", "component")).alias("_top"))
+    one, heaviest = F.col("_all") <= size, F.col("_top._w")
+    plan = sizes.select(
+        "band", F.col("_top.component").alias("_main"),
+        F.when(one, 1).otherwise(F.greatest(F.lit(1), F.ceil((F.col("_all") - heaviest) / size))).cast("int").alias("_outer"),
+        F.when(one, 0).otherwise(F.ceil(heaviest / size)).cast("int").alias("_inner"),
+    )
+    number, inside = F.xxhash64("doc_id"), (F.col("component") == F.col("_main")) & (F.col("_inner") > 0)
+    block = F.when(inside, F.col("_outer") + F.pmod(number, F.greatest("_inner", F.lit(1)))).otherwise(F.pmod(number, F.col("_outer"))).cast("int")
+    last = F.when(inside, F.col("_outer")).otherwise(F.col("_outer") + F.col("_inner")) - 1
+    dealt = live.join(plan, "band").select("band", "doc_id", "component", block.alias("_block"), F.explode(F.sequence(F.lit(0), last)).alias("_other"))
+    return dealt.select("band", F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high"), "doc_id", "component", "_block")
+
+
+def by_bucket(live: DataFrame, carried: DataFrame, column: str, weight: Column, size: int, work, schema: str) -> DataFrame:
     """Run work(doc_ids, components, blocks, values, band) -> rows over the buckets of `live` (band, doc_id, component), each member with a column of `carried`.
 
-    A bucket is dealt into blocks of about `size` members, and every two blocks of a bucket are one group: memory is bounded
-    whatever the bucket's size.
+    A group holds one or two blocks of about `size` by weight (see deal_members): memory is bounded whatever the bucket's size.
     """
     names = [part.split()[0] for part in schema.split(", ")]
 
@@ -288,19 +310,14 @@ def by_bucket(live: DataFrame, carried: DataFrame, column: str, size: int, work,
             yield as_batch(found)
         yield as_batch(work(*zip(*rows, strict=True), key[0]) if rows else [])
 
-    sizes = live.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("_blocks"))
-    dealt = live.join(sizes, "band").withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
-    spread = dealt.select("band", "doc_id", "component", "_block", others).select(
-        "band", F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high"), "doc_id", "component", "_block"
-    )
+    spread = deal_members(live, weight, size)
     group = ["band", "_low", "_high"]
     rows = spread.join(carried, "doc_id").select(*group, "doc_id", "component", "_block", column)
     return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, schema).distinct()
 
 
 def search_buckets(live: DataFrame, sketches: DataFrame, texts: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
-    """Links (hub, doc_id) missing within the buckets of `live` (band, doc_id, component), found on full sets of 64-bit hashes.
+    """Links (hub, doc_id) missing within the buckets of `live` (band, doc_id, component, n_shingles), found on full sets of 64-bit hashes.
 
     Only members whose sketch comes near that of a member of another component bring their sets.
     """
@@ -315,12 +332,12 @@ def search_buckets(live: DataFrame, sketches: DataFrame, texts: DataFrame, width
             sets = [shingle_hashes(words_of(t), width).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "hashes"])
 
-    close = stored(by_bucket(live, sketches, "sketch", BLOCK_SKETCHES, near, "band bigint, doc_id bigint"), "bucket-near")
+    close = stored(by_bucket(live, sketches, "sketch", F.lit(1), BLOCK_SKETCHES, near, "band bigint, doc_id bigint"), "bucket-near")
     kept = live.join(close, ["band", "doc_id"], "left_semi")
     ids = close.select("doc_id").distinct()
     sets = texts.join(small(ids, ids.count()), "doc_id", "left_semi").select("doc_id", "text")
     sets = stored(sets.mapInArrow(hash_sets, "doc_id bigint, hashes binary"), "bucket-sets", compression="zstd")
-    return by_bucket(kept, sets, "hashes", BLOCK_MEMBERS, links, "hub bigint, doc_id bigint")
+    return by_bucket(kept, sets, "hashes", F.col("n_shingles") / MEMBER_SHINGLES, BLOCK_MEMBERS, links, "hub bigint, doc_id bigint")
 
 
 # -- Components ----------------------------------------------------------------------------------------------------------

@@ -546,6 +546,20 @@ def test_queries_without_sql_return_every_document(spark, small_dir):
         assert queries.QUERIES[name](spark, small_dir).count() == total
 
 
+def test_copies_of_a_bucket_stay_in_proportion(spark):
+    rows = [(0, k, 0 if k >= 30 else k) for k in range(1000)] + [(1, k, k % 2) for k in range(40)]
+    live = spark.createDataFrame(rows, "band bigint, doc_id bigint, component bigint").withColumn("n_shingles", F.lit(10))
+    dealt = [tuple(r) for r in near_dups.deal_members(live, F.lit(1), 50).collect()]
+    # 29 members outside the largest component and 971 in it, in 20 blocks; the square of the bucket would be 20,000 rows.
+    assert sum(r[0] == 0 for r in dealt) <= 3 * 1000 and sum(r[0] == 1 for r in dealt) == 40
+    label, groups = {(b, k): c for b, k, c in rows}, {}
+    for band, low, high, doc, _, _ in dealt:
+        groups.setdefault((band, low, high), set()).add(doc)
+    met = {(g[0], a, b) for g, docs in groups.items() for a in docs if label[g[0], a] != 0 for b in docs}
+    for band, n in ((0, 1000), (1, 40)):
+        assert all((band, a, b) in met for a in range(n) if label[band, a] != 0 for b in range(n) if label[band, a] != label[band, b])
+
+
 def test_reading_planes_shuffles_no_whole_documents(spark, tmp_path):
     docs = spark.createDataFrame([(k, "some words here") for k in range(50)], "doc_id bigint, text string")
     bitplanes.write(docs, str(tmp_path / "planes"), public_tokenizers.path("word_bpe_49k.json"), 2, False, 3)
